@@ -77,34 +77,37 @@ def weighted_pick(df: DataFrame, weight: str, seed: int, id_col: str, stream: Co
     )
 
 
-def exact_sample(df: DataFrame, size: DataFrame | int, u: Column, id_col: str,
-                 by: list[str] | None = None, buckets: int = 4096) -> DataFrame:
-    """Exactly ``size`` rows with the smallest (u, id), per group of ``by``.
-
-    A histogram of ``u`` finds the bucket holding the cut, and only rows of
-    that bucket are ranked, so no task sees a whole group.  A bucket is ranked
-    in one window partition of about group/``buckets`` rows.  ``size`` is a
-    number or a DataFrame with columns ``by`` + ``size``.
+def cut_points(df: DataFrame, size: int, u: Column, id_col: str, by: list[str] | None = None,
+               buckets: int = 4096) -> DataFrame:
+    """Per group of ``by`` the ``size``-th smallest (u, id) as ``cut`` (the largest one in smaller groups).
+
+    A histogram of ``u`` finds the bucket holding the cut and only that
+    bucket's rows are ranked, so no task sees a whole group: a window
+    partition here has at most ``buckets`` rows, or group/``buckets`` rows.
     """
     by = by or []
-    tagged = df.withColumn("_u", u).withColumn("_bucket", F.floor(F.col("_u") * buckets).cast("int"))
-    hist = tagged.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"))
+    key = F.struct(F.col("_u").alias("u"), F.col(id_col).alias("id"))
+    tagged = df.select(*by, id_col, u.alias("_u")).withColumn("_bucket", F.floor(F.col("_u") * buckets).cast("int"))
+    hist = tagged.groupBy(*by, "_bucket").agg(F.count("*").alias("_n"), F.max(key).alias("_top"))
     order = Window.partitionBy(*by).orderBy("_bucket")
-    if isinstance(size, DataFrame):
-        hist = hist.join(size, by) if by else hist.crossJoin(F.broadcast(size.limit(1)))
-    else:
-        hist = hist.withColumn("size", F.lit(int(size)))
-    # at most `buckets` rows per group reach this window
-    hist = hist.withColumn("_before", F.sum("_n").over(order) - F.col("_n"))
-    cut = hist.where("_before < size").select(
-        *by, "_bucket", "_before", (F.col("size") - F.col("_before")).alias("_take"),
-        (F.col("_before") + F.col("_n") <= F.col("size")).alias("_whole"),
-    )
-    kept = tagged.join(cut, by + ["_bucket"])
-    whole = kept.where("_whole")
+    hist = hist.withColumn("_before", F.sum("_n").over(order) - F.col("_n")).where(F.col("_before") < size)
+    last = hist.groupBy(*by).agg(F.max(F.struct("_bucket", "_before", "_n", "_top")).alias("b")).select(*by, "b.*")
+    done = last.where(F.col("_before") + F.col("_n") <= size).select(*by, F.col("_top").alias("cut"))
+    open_ = last.where(F.col("_before") + F.col("_n") > size).select(
+        *by, "_bucket", (F.lit(size) - F.col("_before")).alias("_take"))
     rank = F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_u", id_col))
-    part = kept.where("not _whole").withColumn("_r", rank).where("_r <= _take")
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    inside = tagged.join(open_, by + ["_bucket"]).withColumn("_r", rank).where("_r = _take")
+    return done.unionByName(inside.select(*by, key.alias("cut")))
+
+
+def exact_sample(df: DataFrame, size: int, u: Column, id_col: str, by: list[str] | None = None) -> DataFrame:
+    """Exactly ``size`` rows with the smallest (u, id), per group of ``by`` (all rows of smaller groups)."""
+    by = by or []
+    cut = cut_points(df, size, u, id_col, by)
+    below = F.struct(u.alias("u"), F.col(id_col).alias("id")) <= F.col("cut")
+    # one row per group
+    joined = df.join(cut, by) if by else df.crossJoin(F.broadcast(cut))
+    return joined.where(below).select(*df.columns)
 
 
 def shuffled_subset(df: DataFrame, size: int, seed: int, id_col: str, portable: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -75,9 +76,7 @@ def pack(values: Column, sep: str) -> Column:
 
 def unpack(text: Column, sep: str) -> Column:
     """Split a delimited string, trimming parts and dropping empty ones."""
-    import re
-
-    parts = F.transform(F.split(text, re.escape(sep)), F.trim)
+    parts = F.transform(F.split(text, re.escape(sep)), lambda p: F.trim(p))
     return F.filter(parts, lambda p: p != "")
 
 

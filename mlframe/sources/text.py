@@ -22,7 +22,7 @@ def _numbers(parts: Column) -> Column:
 
 
 def _fields(sep: str) -> Column:
-    return F.transform(F.split("value", sep), F.trim)
+    return F.transform(F.split("value", sep), lambda p: F.trim(p))
 
 
 def parse_labeled_vectors(lines: DataFrame, dims: int) -> DataFrame:
