@@ -17,7 +17,7 @@ from mlframe.functions.rng import cut_points, feature_subset, uniform
 from mlframe.functions.vec import add_all
 from mlframe.runtime import durable, spread
 
-CUT_LEVELS = 4  # levels chained as joins before the rows are written again
+CUT_LEVELS = 8  # levels chained as (mostly broadcast) joins before the rows are written again
 
 
 def extract_labeled(parsed: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ class ForestModel:
             side = F.when(F.get("features", F.col("feature")) > F.col("threshold"), "1").otherwise("0")
             step = F.when(F.col("feature").isNull(), F.col("node_id")).otherwise(F.concat("node_id", side))
             df = df.join(splits, ["tree_id", "node_id"], "left").withColumn("node_id", step).drop("feature", "threshold")
-            if level % (2 * CUT_LEVELS) == 0:
+            if level % CUT_LEVELS == 0:
                 df = durable(df)
         leaf = self.nodes.select("tree_id", "node_id", "prediction", F.col("n_prediction").alias("score"))
         return df.join(leaf, ["tree_id", "node_id"])
@@ -178,7 +178,10 @@ def bootstrap(df: DataFrame, ratio: float, n_trees: int, seed: int = 0, exact: b
               portable: bool = False) -> DataFrame:
     """(row_id, features, label, tree_id, in_bag): bags of round(ratio * N) distinct rows; the rest is out of bag.
 
-    ``exact=False`` draws each row independently with probability ``ratio``.
+    A bag is a threshold on the row's random number for that tree (one row per
+    tree), so the copies of a row for its trees are made on the fly in each
+    scan and never written.  ``exact=False`` draws each row independently with
+    probability ``ratio``.
     """
     distinct = df.groupBy("features", "label").agg(F.min("row_id").alias("row_id"), F.count("*").alias("_copies"))
     distinct = spread(durable(distinct))
@@ -191,11 +194,22 @@ def bootstrap(df: DataFrame, ratio: float, n_trees: int, seed: int = 0, exact: b
     size = math.floor(ratio * total + 0.5)
     if size < 1:
         return rows.withColumn("in_bag", F.lit(False))
-    cut = cut_points(rows, size, u, "row_id", ["tree_id"])  # one row per tree
+    cut = durable(cut_points(rows, size, u, "row_id", ["tree_id"]))  # one row per tree
     below = F.struct(u.alias("u"), F.col("row_id").alias("id")) <= F.col("cut")
     return rows.join(F.broadcast(cut), "tree_id").select("row_id", "features", "label", "tree_id", below.alias("in_bag"))
 
 
+def _profile(df: DataFrame) -> tuple[int, list]:
+    """Vector size and classes, in one scan."""
+    row = df.agg(F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi"),
+                 F.collect_set("label").alias("c")).first()
+    if row["lo"] is None:
+        raise ValueError("no training rows")
+    if row["lo"] != row["hi"]:
+        raise ValueError("vectors differ in size")
+    return row["lo"], sorted(row["c"])
+
+
 def forest_fit(df: DataFrame, n_trees: int = 200, m: int = 10, max_depth: int | None = None, ratio: float = 0.66,
                seed: int = 0, exact: bool = True, portable: bool = False) -> ForestModel:
     """Fit ``n_trees`` trees on rows (row_id, features, label).
@@ -203,14 +217,8 @@ def forest_fit(df: DataFrame, n_trees: int = 200, m: int = 10, max_depth: int |
     Each node looks at ``m`` randomly drawn features.  A node is final when it
     is pure, at ``max_depth``, or when no value of its features separates rows.
     """
-    first = df.agg(F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")).first()
-    if first["lo"] is None:
-        raise ValueError("no training rows")
-    if first["lo"] != first["hi"]:
-        raise ValueError("vectors differ in size")
-    dims = first["lo"]
-    classes = class_list(df)
-    rows = durable(bootstrap(df, ratio, n_trees, seed, exact, portable))
+    dims, classes = _profile(df)
+    rows = bootstrap(df, ratio, n_trees, seed, exact, portable)
     nodes, depth = grow(rows.where("in_bag").select("tree_id", F.lit("1").alias("node_id"), "features", "label"),
                         classes, dims, m, max_depth, seed, portable)
     return ForestModel(nodes, n_trees, depth, rows)
@@ -218,9 +226,9 @@ def forest_fit(df: DataFrame, n_trees: int = 200, m: int = 10, max_depth: int |
 
 def tree_fit(df: DataFrame, m: int, max_depth: int | None = None, seed: int = 0, portable: bool = False) -> ForestModel:
     """One tree on all rows (no bootstrap)."""
-    dims = df.agg(F.max(F.size("features")).alias("d")).first()["d"]
+    dims, classes = _profile(df)
     rows = df.select(F.lit(1).alias("tree_id"), F.lit("1").alias("node_id"), "features", "label")
-    nodes, depth = grow(rows, class_list(df), dims, m, max_depth, seed, portable)
+    nodes, depth = grow(rows, classes, dims, m, max_depth, seed, portable)
     return ForestModel(nodes, 1, depth, df.withColumn("tree_id", F.lit(1)).withColumn("in_bag", F.lit(True)))
 
 
