@@ -106,6 +106,8 @@ def test_sinks(spark, tmp_path):
     assert text.read_theta(spark, str(tmp_path / "theta")) == [1e-5, 2.0]
     can = spark.createDataFrame([(1, 3), (1, 11), (2, 2)], "canopy_id long, doc_id long")
     assert sorted(r["value"] for r in sinks.canopy_lines(can).collect()) == ["2", "3,11"]
+    level = spark.createDataFrame([(3, 1), (3, 3), (2, 2)], "cluster_id long, doc_id long")
+    assert {r["cluster_id"]: r["value"] for r in sinks.membership_lines(level).collect()} == {3: "1,3", 2: "2"}
     hist = spark.createDataFrame([(2, 3, 4, 1.0), (1, 1, 2, 2.0)], "step long, old_id long, new_id long, sim double")
     assert sinks.history_line(hist).first()[0] == "[1; 2][3; 4]"
     scored = spark.createDataFrame([(0.5, 1, [1.0, 2.0])], "probability double, label int, features array<double>")
