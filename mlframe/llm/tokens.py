@@ -20,8 +20,8 @@ from mlframe.runtime import scratch_dir
 END_ID = 1
 # A shard is closed after so many ids or documents.
 SHARD_IDS, SHARD_DOCS = 4_000_000, 1_000_000
-# Entries of a task's word and piece caches before they start anew.
-CACHE = 600_000
+# Words a Python worker remembers before it starts anew.
+CACHE = 900_000
 HEADER = struct.Struct("<4sHHqqqqq")
 MAGIC = b"EFTK"
 SAMPLE = 512
@@ -96,7 +96,7 @@ class Encoder:
     """Ids of texts by the tokenizers library.  No token crosses white space, so words are encoded once and kept."""
 
     def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         vocab = self.tokenizer.get_vocab()
@@ -104,49 +104,52 @@ class Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # the same vocabulary for single lower-case pre-tokens: nothing is left to normalise or to cut but spaces
+        self.merger = Tokenizer.from_str(tokenizer_json)
+        self.merger.normalizer = normalizers.Sequence([])
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+
+    @staticmethod
+    def _ids(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, new: list[bytes]) -> None:
-        plain, cut = {}, {}
+        plain, cut = [], []
         for w in new:
             s = w.decode()
-            if PLAIN.fullmatch(s):
-                plain[w] = PRE_TOKEN.findall(s.lower())
-            else:
-                self.words[w] = self._ids(s).tobytes()
-        for p in plain.values():
-            for x in p:
-                if x not in self.pieces:
-                    cut[x] = None
-        need = list(cut)
-        for i in range(0, len(need), 1000):
-            part = need[i:i + 1000]
-            ids = self._ids(" ".join(part))
-            stop = np.flatnonzero(self.ends[ids]) + 1
-            if len(stop) == len(part):
-                data, at = ids.tobytes(), [0, *(stop * 4).tolist()]
-                for k, x in enumerate(part):
-                    self.pieces[x] = data[at[k]:at[k + 1]]
+            if s.isascii() and s.isalpha():
+                plain.append((w, 1))
+                cut.append(s.lower())
+            elif s.isascii() and s[:-1].isalpha() and s[-1] in ",.;:!?":
+                plain.append((w, 2))
+                cut += (s[:-1].lower(), s[-1])
+            elif PLAIN.fullmatch(s):
+                pieces = PRE_TOKEN.findall(s.lower())
+                plain.append((w, len(pieces)))
+                cut += pieces
             else:
-                for x in part:
-                    self.pieces[x] = self._ids(x).tobytes()
-        for w, p in plain.items():
-            self.words[w] = b"".join([self.pieces[x] for x in p])
+                self.words[w] = self._ids(self.tokenizer, s).tobytes()
+        ids = self._ids(self.merger, " ".join(cut))
+        stop = np.r_[0, np.flatnonzero(self.ends[ids]) + 1]
+        if len(stop) != len(cut) + 1:  # a token of the vocabulary that ends no pre-token where it should
+            self.words.update((w, self._ids(self.tokenizer, w.decode()).tobytes()) for w, _ in plain)
+            return
+        data, at = ids.tobytes(), (4 * stop[np.cumsum([0, *(n for _, n in plain)])]).tolist()
+        for k, (w, _) in enumerate(plain):
+            self.words[w] = data[at[k]:at[k + 1]]
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """Little-endian 32-bit ids of each text, with the end id."""
         if len(self.words) > CACHE:
             self.words.clear()
-        if len(self.pieces) > CACHE:
-            self.pieces.clear()
-        split = [t.split() if t else [] for t in texts]
-        new = {w: None for ws in split for w in ws if w not in self.words}
-        if new:
+        # the vocabulary knows no upper case; only special tokens, which start with <|, must keep theirs
+        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+        here = set().union(*split)  # few enough for the processor's cache, unlike all words so far
+        if new := here.difference(self.words):
             self._learn(list(new))
-        end, get = struct.pack("<I", END_ID), self.words.__getitem__
+        end, get = struct.pack("<I", END_ID), {w: self.words[w] for w in here}.__getitem__
         return [b"".join(map(get, ws)) + end for ws in split]
 
 
