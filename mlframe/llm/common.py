@@ -37,10 +37,10 @@ def raw(column: pa.Array) -> list:
     return column.cast(pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batch in row ranges of about SLICE_BYTES of text; a longer text is a range of its own."""
+def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in row ranges of about ``size`` bytes of text; a longer text is a range of its own."""
     sizes = np.array([0 if x is None else x for x in pc.binary_length(batch.column(text)).to_pylist()])
-    block = (np.cumsum(sizes) - sizes) // SLICE_BYTES
+    block = (np.cumsum(sizes) - sizes) // size
     starts = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else []
     for a, b in zip(starts, [*starts[1:], len(block)]):
         yield batch.slice(a, b - a)

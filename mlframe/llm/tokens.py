@@ -20,6 +20,8 @@ from mlframe.runtime import scratch_dir
 END_ID = 1
 # A shard is closed after so many ids or documents.
 SHARD_IDS, SHARD_DOCS = 4_000_000, 1_000_000
+# Texts are cut into words in lots of so many bytes.
+LOT_BYTES = 6_000_000
 # Words a Python worker remembers before it starts anew.
 CACHE = 900_000
 HEADER = struct.Struct("<4sHHqqqqq")
@@ -198,7 +200,7 @@ def _write(shared):
             return pa.RecordBatch.from_arrays([pa.array([shard(number, docs, ids, encoder.width)], pa.binary())], ["shard"])
 
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=LOT_BYTES):
                 for d, x in zip(part.column("doc_id").to_pylist(), encoder.encode(raw(part.column("text")))):
                     docs.append(d)
                     ids.append(x)
