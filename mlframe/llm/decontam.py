@@ -19,8 +19,10 @@ FOUND = "doc_id long, item_id long, doc_start long, doc_end long, item_start lon
 
 
 def normal(text: bytes | None) -> bytes:
-    """Lower case in A-Z, single spaces between words."""
-    return b" ".join(text.lower().split()) if text else b""
+    """Lower case, single spaces between words."""
+    if not text:
+        return b""
+    return b" ".join((text if text.isascii() else text.decode().lower().encode()).lower().split())
 
 
 def qgrams(text: np.ndarray) -> np.ndarray:
@@ -77,21 +79,42 @@ class Index:
         self.budget = self.width // EDIT_SHARE
         self.need = self.width - Q + 1 - self.budget * Q  # the q-gram lemma
 
-    def passages(self, text: bytes) -> list[tuple[int, int, int, int, int]]:
-        """(item, start, end, item start, edits) of the first passage of every item in a normalised text.
+    def search(self, texts: list[bytes]) -> list[list[tuple[int, int, int, int, int]]]:
+        """``passages`` of each normalised text.
+
+        A passage leaves at least the fewest q-grams of any item's bound within a passage's length of text, so only places
+        as dense in q-grams of the benchmark are looked at further.
+        """
+        out: list[list[tuple[int, int, int, int, int]]] = [[] for _ in texts]
+        if not len(self.keys) or not texts:
+            return out
+        code = qgrams(np.frombuffer(b"\0".join(texts), np.uint8))
+        pos = np.flatnonzero(self.filter[_slot(code)])
+        pos = pos[self.keys[np.minimum(np.searchsorted(self.keys, code[pos]), len(self.keys) - 1)] == code[pos]]
+        need, span = max(1, int(self.need.min())), int((self.width + self.budget).max()) - Q + 1
+        first = np.flatnonzero(pos[need - 1:] - pos[:len(pos) - need + 1] < span)
+        if not len(first):
+            return out
+        dense = np.zeros(len(pos) + 1, np.int64)  # marks first .. first + need - 1
+        np.add.at(dense, first, 1)
+        np.add.at(dense, first + need, -1)
+        pos = pos[np.cumsum(dense)[:-1] > 0]
+        begin = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        owner = np.searchsorted(begin, pos, "right") - 1
+        cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        for a, b in zip(cut, [*cut[1:], len(pos)]):
+            k = int(owner[a])
+            out[k] = self.passages(texts[k], code[pos[a:b]], pos[a:b] - begin[k])
+        return out
+
+    def passages(self, text: bytes, code: np.ndarray, pos: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(item, start, end, item start, edits) of the first passage of every item in a normalised text, given its q-grams that
+        items hold and their places.
 
         Hits of an item are put into overlapping bands of diagonals, twice the edit budget wide.  A window of hits that meets the
         lemma's bound is verified against the item's window at those diagonals.
         """
-        code = qgrams(np.frombuffer(text, np.uint8))
-        pos = np.flatnonzero(self.filter[_slot(code)])
-        if not len(pos) or not len(self.keys):
-            return []
-        k = np.minimum(np.searchsorted(self.keys, code[pos]), len(self.keys) - 1)
-        hit = self.keys[k] == code[pos]
-        pos, k = pos[hit], k[hit]
-        if not len(pos):
-            return []
+        k = np.searchsorted(self.keys, code)
         n = self.first[k + 1] - self.first[k]
         ref = np.repeat(self.first[k], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         pos, item, at = np.repeat(pos, n), self.item[ref], self.at[ref]
@@ -113,6 +136,7 @@ class Index:
         far = np.searchsorted(group * (1 << 32) + rows[:, 2], group * (1 << 32) + rows[:, 2] + self.width[item] - Q + 1)
         good = far - np.arange(len(rows)) >= self.need[item]
         found: dict[int, tuple[int, int, int, int, int]] = {}
+        tried: set[tuple[int, int, int]] = set()
         for r in np.flatnonzero(good):
             i = int(item[r])
             if i in found:
@@ -120,9 +144,12 @@ class Index:
             own, budget, w = self.items[i][1], int(self.budget[i]), int(self.width[i])
             first, last = int(rows[r, 2]), int(rows[far[r] - 1, 2]) + Q
             slack = 3 * budget + 2
-            a = max(0, min(last - w, len(own) - w))
-            for start in dict.fromkeys((min(first, len(own) - w), a)):
+            top, low = min(first, len(own) - w), max(0, min(last - w, len(own) - w))
+            for start in dict.fromkeys((top, low, *range(low, top))):  # every window that could hold these hits
                 lo = max(0, int(rows[r, 3]) - (first - start) - slack)
+                if (i, start, lo // slack) in tried:
+                    continue
+                tried.add((i, start, lo // slack))
                 got = banded(own[start:start + w], text[lo:int(rows[r, 3]) + (start + w - first) + slack], budget)
                 if got:
                     found[i] = (self.items[i][0], lo + got[1], lo + got[2], start, got[0])
@@ -135,7 +162,8 @@ def _find(shared):
         index: Index = shared.value
         for batch in batches:
             for part in slices(batch):
-                rows = [(d, *p) for d, t in zip(part.column("doc_id").to_pylist(), raw(part.column("text"))) for p in index.passages(normal(t))]
+                found = index.search([normal(t) for t in raw(part.column("text"))])
+                rows = [(d, *p) for d, ps in zip(part.column("doc_id").to_pylist(), found) for p in ps]
                 cols = list(zip(*rows)) if rows else [()] * 6
                 names = ["doc_id", "item_id", "doc_start", "doc_end", "item_start", "edits"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
@@ -145,7 +173,7 @@ def _find(shared):
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage: ``doc_id, item_id, doc_start, doc_end, item_start, edits``.
 
-    Offsets count bytes of the normalised text (A-Z lower-cased, single spaces).  Items are read in parts of bounded size, each
+    Offsets count bytes of the normalised text (lower case, single spaces).  Items are read in parts of bounded size, each
     searched in all documents.  Items under eight bytes, null and empty texts match nothing; repeated rows repeat.
     """
     sc = docs.sparkSession.sparkContext
