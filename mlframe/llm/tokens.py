@@ -215,14 +215,14 @@ def _write(shared):
 
 
 def write(docs: DataFrame, path: str, tokenizer_path: str) -> None:
-    """Encode ``docs (doc_id, text)`` and write shards in ascending order of doc_id (null first, ties by text) below ``path``.
+    """Encode ``docs (doc_id, text)`` and write shards in ascending order of doc_id (null first, ties by a hash of the text) below ``path``.
 
-    Texts are range-partitioned before they are encoded, so encoding runs once.  Null and empty texts hold the end id only.
+    Texts are range-partitioned before they are encoded, so encoding runs once; only ids and hashes are sampled for the ranges.  Null and empty texts hold the end id only.
     """
     with open(tokenizer_path, encoding="utf-8") as f:  # of the driver; the tasks get its content
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text") \
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tie"))
+    rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text") \
         .mapInArrow(_write(shared), "shard binary").select(F.col("shard").cast("string")) \
         .write.option("maxRecordsPerFile", 1).text(path)
 
