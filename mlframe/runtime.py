@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,7 +26,7 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
 
     Only a local session may go without the setting; it then gets a fresh
-    temporary folder, because driver and tasks share one machine.
+    temporary folder, because driver and tasks share one machine; it goes with the process.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -33,7 +35,8 @@ def scratch_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if sc.applicationId not in _local_dirs:
-        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="mlframe-")
+        _local_dirs[sc.applicationId] = folder = tempfile.mkdtemp(prefix="mlframe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _local_dirs[sc.applicationId]
 
 

@@ -1,6 +1,8 @@
 import math
 
 import pytest
+
+from mlframe.operators.evaluate import vector_sum
 from pyspark.sql import functions as F
 
 from mlframe.functions import rng, vec
@@ -133,3 +135,10 @@ def test_generators(spark, tmp_path):
     assert back.count() == 20
     key = lambda df: sorted(tuple(r["features"]) for r in df.collect())
     assert key(back) == key(gen)
+
+
+@pytest.mark.parametrize("bad", [[1.0, 2.0, 3.0], [1.0], [1.0, None], None])
+def test_vector_sum_rejects_other_vectors(spark, bad):
+    df = spark.createDataFrame([([1.0, 2.0],), (bad,)], "features array<double>")
+    with pytest.raises(Exception, match="components"):
+        vector_sum(df, 2).collect()
