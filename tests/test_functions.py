@@ -3,7 +3,7 @@ import math
 import pytest
 
 from mlframe.operators.evaluate import vector_sum
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from mlframe.functions import rng, vec
 from mlframe.sources import generate, sinks, text
@@ -90,6 +90,20 @@ def test_readers(spark, tmp_path):
     assert s[0]["features"] == [1.5, 2.5]
     c = text.read_centers(spark, write("c", "3 1.5 2.5\n")).collect()
     assert tuple(c[0]) == (3, [1.5, 2.5])
+    for body in ("7 x 2\n", "1 61\n", "1 61 2 9\n"):
+        with pytest.raises(Exception, match="malformed line"):
+            text.read_bow(spark, write("bad", "6\n1 61 2\n" + body)).collect()
+        seen = Observation()
+        assert text.read_bow(spark, write("bad", "6\n\n1 61 2\n" + body), malformed="drop", counts=seen).count() == 1
+        assert seen.get == {"lines": 2, "malformed": 1}
+    bad = [(lambda p: text.read_points(spark, p, "|", 2, True), ("1|x|2|", "1|2|", "a|1|2|")),
+           (lambda p: text.read_labeled_points(spark, p, 2, 3), ("1,2,1.7", "1,y,2", "1,2")),
+           (lambda p: text.read_labeled_vectors(spark, p, 1), ("1,b,c", "3,4")),
+           (lambda p: text.read_word_sets(spark, p), ("7 x", "word"))]
+    for read, bodies in bad:
+        for body in bodies:
+            with pytest.raises(Exception, match="malformed line"):
+                read(write("bad", body + "\n")).collect()
     assert text.read_theta(spark, write("t", "1.0E-5,-2.5,3\n")) == [1e-5, -2.5, 3.0]
 
 
