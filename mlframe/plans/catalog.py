@@ -48,17 +48,29 @@ def order_points(spark, d) -> DataFrame:
                 F.datediff("o_orderdate", F.lit("1992-01-01").cast("date")) / 7.0).alias("features"))
 
 
+def _text_counts() -> tuple[Column, Column]:
+    """Words and full stops of ``text``."""
+    words = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
+    return words, F.length("text") - F.length(F.replace("text", F.lit("."), F.lit("")))
+
+
 def doc_features(spark, d) -> DataFrame:
     """Labelled documents: characters, words, full stops and toxicity; label = quality."""
     docs = table(spark, d, "documents").select("doc_id", "text", "n_chars")
-    words = F.size(F.filter(F.split("text", " "), lambda w: w != ""))
-    dots = F.length("text") - F.length(F.replace("text", F.lit("."), F.lit("")))
+    words, dots = _text_counts()
     return docs.join(table(spark, d, "labels"), "doc_id").select(
         F.col("doc_id").alias("row_id"),
         F.array(*[c.cast("double") for c in (F.col("n_chars"), words, dots, F.col("toxic"))]).alias("features"),
         F.col("quality").alias("label"))
 
 
+def all_doc_features(spark, d) -> DataFrame:
+    """The same features for every document; where no label is known, toxicity is 0."""
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id", "toxic")
+    return docs.join(labels, "doc_id", "left").select(F.col("doc_id").alias("row_id"), F.array(*[c.cast("double") for c in (
+        F.col("n_chars"), *_text_counts(), F.coalesce("toxic", F.lit(0)))]).alias("features"))
+
+
 def documents_bow(spark, d) -> DataFrame:
     return bow.bag_of_words(table(spark, d, "documents"))
 
@@ -463,11 +475,11 @@ def forest_nodes(spark, d):
 
 
 def forest_votes(spark, d):
-    return _model(spark, d).votes(doc_features(spark, d)).select("row_id", "label", rnd("share").alias("share"))
+    return _model(spark, d).votes(all_doc_features(spark, d)).select("row_id", "label", rnd("share").alias("share"))
 
 
 def forest_predict(spark, d):
-    return _model(spark, d).predict(doc_features(spark, d)).select("row_id", "prediction", rnd("share").alias("share"))
+    return _model(spark, d).predict(all_doc_features(spark, d)).select("row_id", "prediction", rnd("share").alias("share"))
 
 
 def oob_error(spark, d):

@@ -143,6 +143,9 @@ def route(rows: str, depth: int) -> str:
 
 FOREST = f"{DOC_FEATURES},\n{DISTINCT_DOCS},\n{bags(3, 0.7)},\n{tree_levels('bags WHERE in_bag', 2, 2)}"
 ALL_TREES = "(SELECT row_id, f, label, tree_id FROM docs, (SELECT range::INTEGER AS tree_id FROM range(1, 4)))"
+EVERY_DOC = ALL_TREES.replace("FROM docs,", """FROM (SELECT d.doc_id AS row_id, [n_chars::DOUBLE,
+  len(list_filter(string_split(text, ' '), lambda w: w <> ''))::DOUBLE, (length(text) - length(replace(text, '.', '')))::DOUBLE,
+  coalesce(toxic, 0)::DOUBLE] AS f, quality AS label FROM documents d LEFT JOIN labels l USING (doc_id)),""")
 VOTES = """votes AS (SELECT row_id, prediction AS label, count(*) / 3.0 AS share FROM leafs GROUP BY 1, 2),
 pred AS (SELECT row_id, label AS prediction, share FROM votes
   QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY share DESC, label) = 1)"""
@@ -385,8 +388,8 @@ SQL: dict[str, str] = {
     "tree_depth_2": f"""WITH {DOC_FEATURES}, {tree_levels('(SELECT 1 AS tree_id, f, label FROM docs)', 2, 4)}
   SELECT node_id, feature, threshold, n, prediction, n_prediction FROM nodes""",
     "forest_nodes": f"WITH {FOREST} SELECT tree_id, node_id, feature, threshold, n, prediction, n_prediction FROM nodes",
-    "forest_votes": f"WITH {FOREST}, {route(ALL_TREES, 2)}, {VOTES} SELECT row_id, label, {rnd('share')} AS share FROM votes",
-    "forest_predict": f"WITH {FOREST}, {route(ALL_TREES, 2)}, {VOTES} SELECT row_id, prediction, {rnd('share')} AS share FROM pred",
+    "forest_votes": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, label, {rnd('share')} AS share FROM votes",
+    "forest_predict": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, prediction, {rnd('share')} AS share FROM pred",
     "oob_error": f"""WITH {FOREST}, {route('(SELECT row_id, f, label, tree_id FROM bags WHERE NOT in_bag)', 2)}
   SELECT {rnd('avg(e)')} AS error FROM (SELECT tree_id, avg(CASE WHEN prediction <> label THEN 1.0 ELSE 0.0 END) AS e FROM leafs GROUP BY 1)""",
     "confusion": f"""WITH {FOREST}, {route(ALL_TREES, 2)}, {VOTES} SELECT label, prediction, count(*) AS n
