@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 
@@ -80,6 +83,24 @@ def unpack(text: Column, sep: str) -> Column:
     return F.filter(parts, lambda p: p != "")
 
 
+def checked(value: Column, features: Column, dims: int) -> Column:
+    """``value``, computed from ``features``; an error unless they have ``dims`` components and none is NULL.
+
+    ``value`` must be NULL only if a component is.
+    """
+    bad = F.raise_error(F.lit(f"vectors differ in size from {dims} or hold NULL")).cast("double")
+    return F.coalesce(F.when(F.size(features) == dims, value), bad)
+
+
+def batch_matrix(column: pa.Array, dims: int) -> np.ndarray:
+    """The vectors of an Arrow batch as a matrix; the same error as ``checked``, decided row by row."""
+    flat = column.flatten()
+    sizes = pc.list_value_length(column)
+    if column.null_count or flat.null_count or (len(column) and not pc.all(pc.equal(sizes, dims)).as_py()):
+        raise ValueError(f"vectors differ in size from {dims} or hold NULL")
+    return flat.to_numpy(zero_copy_only=False).reshape(-1, dims)
+
+
 def add_all(terms: list[Column]) -> Column:
     """Left-to-right sum of a list of expressions."""
     return reduce(lambda a, b: a + b, terms)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from mlframe.functions.rng import race_key, random_row, uniform
-from mlframe.functions.vec import unrolled_sq_dist
+from mlframe.functions.vec import batch_matrix, checked, unrolled_sq_dist
 from mlframe.runtime import MODEL_BLOCK_VALUES, UNROLL_TERMS
 
 Distance = Callable[[Column, Column], Column]
@@ -54,13 +54,6 @@ def _collect_model(centers: DataFrame) -> _Model:
     return _Model([(r["cluster"], r["center"]) for r in centers.select("cluster", "center").collect()])
 
 
-def _matrix(batch: pa.RecordBatch, name: str, dims: int) -> np.ndarray:
-    flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
-    if len(flat) != batch.num_rows * dims:
-        raise ValueError("vectors differ in size from the centres")
-    return flat.reshape(-1, dims)
-
-
 def _nearest_numpy(x: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest centre (first on ties) and its squared distance."""
     best = np.full(len(x), np.inf)
@@ -87,22 +80,25 @@ def nearest(points: DataFrame, centers: DataFrame | _Model, features: str = "fea
 
     Row-wise and stateless, so it also runs on a streaming DataFrame.  A custom
     ``distance(features, centre)`` Column function replaces the squared
-    Euclidean one.
+    Euclidean one.  Vectors of another size than the centres, NULL ones and
+    NULL components fail the job, whatever the size of the model.
     """
+    if clash := {"cluster", "sq_distance"} & set(points.columns):
+        raise ValueError(f"points already have columns {sorted(clash)}")
     model = centers if isinstance(centers, _Model) else _collect_model(centers)
     if not model.ids:
         raise ValueError("no centres")
     if distance is not None or len(model.ids) * model.dims <= UNROLL_TERMS:
         x = F.col(features)
-        cand = []
-        for i, c in model.rows():
-            if distance is None:
-                d2 = F.when(F.size(x) == model.dims, unrolled_sq_dist(x, c)).otherwise(
-                    F.raise_error(F.lit("vectors differ in size from the centres")))
-            else:
-                d2 = distance(x, F.lit(c).cast("array<double>"))
-            cand.append(F.struct(d2.cast("double").alias("d"), F.lit(i).cast("int").alias("i")))
-        best = F.array_min(F.array(*cand))
+        if distance is None:
+            best = F.array_min(F.array(*[F.struct(
+                checked(unrolled_sq_dist(x, c), x, model.dims).alias("d"), F.lit(i).cast("int").alias("i"))
+                for i, c in model.rows()]))
+        else:  # one expression over an array of centres: the plan does not grow with their number
+            table = F.lit(model.values).cast("array<array<double>>")
+            ids = F.lit(model.ids).cast("array<int>")
+            best = F.array_min(F.transform(F.arrays_zip(table.alias("c"), ids.alias("i")), lambda s: F.struct(
+                distance(x, s["c"]).cast("double").alias("d"), s["i"].alias("i"))))
         return points.withColumn("_best", best).select(
             *points.columns, F.col("_best.i").alias("cluster"), F.col("_best.d").alias("sq_distance"))
 
@@ -115,7 +111,7 @@ def nearest(points: DataFrame, centers: DataFrame | _Model, features: str = "fea
 
         def run(batches, block_ids=block_ids, block=block):
             for b in batches:
-                index, d2 = _nearest_numpy(_matrix(b, features, dims), block)
+                index, d2 = _nearest_numpy(batch_matrix(b.column(features), dims), block)
                 cluster = block_ids[index]
                 names = b.schema.names
                 cols = b.columns
@@ -153,7 +149,7 @@ def _partials(df: DataFrame, model: _Model, features: str, distance: Distance |
             k = len(ids)
             n, mark, total = np.zeros(k, np.int64), np.zeros(k, np.int64), np.zeros((k, dims))
             for b in batches:
-                x = _matrix(b, "features", dims)
+                x = batch_matrix(b.column("features"), dims)
                 index, _ = _nearest_numpy(x, values)
                 n += np.bincount(index, minlength=k)
                 np.bitwise_xor.at(mark, index, b.column("h").to_numpy(zero_copy_only=False))
@@ -169,6 +165,9 @@ def _partials(df: DataFrame, model: _Model, features: str, distance: Distance |
             F.sum("n").alias("n"), F.bit_xor("mark").alias("mark"), F.sum("x").alias("x"))
     near = nearest(hashed, model, "features", distance)
     x = F.col("features")
+    if dims > UNROLL_TERMS:  # long form: one sum, however wide the vectors are
+        return near.select("cluster", "h", F.posexplode(x).alias("pos", "x")).groupBy("cluster", "pos").agg(
+            F.count("*").alias("n"), F.bit_xor("h").alias("mark"), F.sum("x").alias("x"))
     agg = near.groupBy("cluster").agg(
         F.count("*").alias("n"), F.bit_xor("h").alias("mark"), *[F.sum(x[j]).alias(f"s{j}") for j in range(dims)])
     total = F.array(*[F.col(f"s{j}") for j in range(dims)])

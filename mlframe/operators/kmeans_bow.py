@@ -17,8 +17,12 @@ from mlframe.runtime import discard, durable
 
 
 def _postings(bow: DataFrame) -> DataFrame:
-    """Entries placed by document: per-document sums then need no further shuffle."""
-    return bow.groupBy("doc_id", "term_id").agg(F.sum("cnt").cast("double").alias("cnt")).where(
+    """Entries placed by document: per-document sums then need no further shuffle.
+
+    Negative counts fail the job: ``nearest_documents`` is exact for non-negative ones only.
+    """
+    good = F.when(F.col("cnt") < 0, F.raise_error(F.lit("counts must not be negative")).cast("double")).otherwise(F.col("cnt"))
+    return bow.withColumn("cnt", good).groupBy("doc_id", "term_id").agg(F.sum("cnt").cast("double").alias("cnt")).where(
         "cnt <> 0").repartition("doc_id")
 
 

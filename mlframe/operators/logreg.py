@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from mlframe.functions.rng import exact_sample, uniform
-from mlframe.functions.vec import add_all, sigmoid, unrolled_dot
+from mlframe.functions.vec import add_all, batch_matrix, checked, sigmoid, unrolled_dot
 from mlframe.runtime import UNROLL_TERMS
 
 
@@ -22,10 +22,10 @@ def _dims(points: DataFrame) -> int:
 
 def _wide(points: DataFrame, dims: int, *extra: str) -> DataFrame:
     """One primitive column per feature: null-free, compactly cached, short generated code."""
-    zero = F.lit(0.0)
+    x = F.col("features")
     return points.select(
         *extra, F.col("label").cast("double").alias("y"),
-        *[F.coalesce(F.col("features")[j], zero).alias(f"x{j}") for j in range(dims)])
+        *[checked(F.get(x, F.lit(j)), x, dims).alias(f"x{j}") for j in range(dims)])
 
 
 def gradient(df: DataFrame, theta: list[float]) -> DataFrame:
@@ -43,7 +43,7 @@ def gradient(df: DataFrame, theta: list[float]) -> DataFrame:
     def run(batches):
         n, g = 0, np.zeros(dims)
         for b in batches:
-            x = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            x = batch_matrix(b.column("features"), dims)
             with np.errstate(over="ignore"):
                 e = 1.0 / (1.0 + np.exp(-(x @ weights))) - b.column("y").to_numpy(zero_copy_only=False)
             n += len(x)
@@ -115,17 +115,27 @@ def logreg_fit_sgd(points: DataFrame, alpha: float, iterations: int, subset: int
 
 
 def logreg_predict(points: DataFrame, theta: list[float]) -> DataFrame:
-    """Append ``probability`` and ``prediction``; row-wise, also usable on a stream."""
+    """Append ``probability`` and ``prediction``; row-wise, also usable on a stream.
+
+    Vectors of another size than theta, NULL ones and NULL components fail the job.
+    """
     dims = len(theta)
-    x = F.col("features")
+    if clash := {"probability", "prediction"} & set(points.columns):
+        raise ValueError(f"points already have columns {sorted(clash)}")
     if dims <= UNROLL_TERMS:
-        z = unrolled_dot(x, theta)
+        x = F.col("features")
+        scored = points.withColumn("probability", sigmoid(checked(unrolled_dot(x, theta), x, dims)))
     else:
-        z = F.aggregate(F.zip_with(x, F.lit([float(t) for t in theta]), lambda a, b: a * b),
-                        F.lit(0.0), lambda a, b: a + b)
-    z = F.when(F.size(x) == dims, z).otherwise(F.raise_error(F.lit("vectors differ in size from theta")))
-    return points.withColumn("probability", sigmoid(z)).withColumn(
-        "prediction", (F.col("probability") >= 0.5).cast("int"))
+        weights = np.array(theta, dtype=float)
+
+        def run(batches):
+            for b in batches:
+                with np.errstate(over="ignore"):
+                    p = 1.0 / (1.0 + np.exp(-(batch_matrix(b.column("features"), dims) @ weights)))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], [*b.schema.names, "probability"])
+
+        scored = points.mapInArrow(run, T.StructType(points.schema.fields + [T.StructField("probability", T.DoubleType())]))
+    return scored.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
 
 
 def theta_frame(spark, theta: list[float]) -> DataFrame:

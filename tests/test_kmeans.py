@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from mlframe.operators import kmeans, kmeans_bow
+from mlframe.operators import kmeans, kmeans_bow, logreg
 from mlframe.sources import generate
 from tests.fixtures import FOUR_CENTERS
 
@@ -109,6 +109,39 @@ def test_size_mismatch(spark):
             kmeans.assign(frame(spark, [[0.0] * (dims + 1)]), cframe(spark, [[0.0] * dims])).collect()
 
 
+@pytest.mark.parametrize("dims", [2, 40])
+@pytest.mark.parametrize("bad", ["short_and_long", "null_component", "null_vector"])
+def test_vectors_are_checked_alike_in_small_and_large_models(spark, dims, bad):
+    x = [0.5] * dims
+    odd = {"short_and_long": [x[1:], [*x, 1.0]], "null_component": [x, [*x[1:], None]], "null_vector": [x, None]}[bad]
+    pts = spark.createDataFrame(list(enumerate(odd)), SCHEMA).coalesce(1)
+    with pytest.raises(Exception, match="differ in size"):
+        kmeans.assign(pts, cframe(spark, [[0.0] * dims, [1.0] * dims])).collect()
+    with pytest.raises(Exception, match="differ in size"):
+        logreg.logreg_predict(pts, [1.0] * dims).collect()
+    with pytest.raises(Exception, match="differ in size"):
+        logreg.logreg_fit(pts.withColumn("label", F.lit(1)), 0.1, 1, theta0=[0.0] * dims)
+
+
+def test_name_clashes_are_rejected(spark):
+    with pytest.raises(ValueError, match="already have"):
+        kmeans.assign(frame(spark, [[1.0, 2.0]]).withColumn("cluster", F.lit(1)), cframe(spark, [[0.0, 0.0]]))
+
+
+def test_custom_distance_with_many_centres(spark):
+    many = cframe(spark, [[float(i), 0.0] for i in range(1000)])
+    rows = kmeans.assign(frame(spark, [[700.2, 0.0], [3.6, 0.0]]), many,
+                         distance=lambda x, c: F.abs(x[0] - c[0]) + F.abs(x[1] - c[1])).orderBy("row_id").collect()
+    assert [r["cluster"] for r in rows] == [700, 4]
+
+
+def test_negative_counts_are_rejected(spark):
+    docs = spark.createDataFrame([(1, 2, -1.0)], "doc_id long, term_id long, cnt double")
+    centers = spark.createDataFrame([(1, 1, 2.0)], "cluster int, term_id long, weight double")
+    with pytest.raises(Exception, match="must not be negative"):
+        kmeans_bow.bow_step(docs, centers).collect()
+
+
 def test_stream(spark, tmp_path):
     from mlframe.streaming.scoring import assign_stream, score_stream
 
