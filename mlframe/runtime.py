@@ -15,8 +15,6 @@ MODEL_BLOCK_VALUES = 4_000_000
 # models are applied to Arrow batches: at k=10, d=64 that ran 8x faster than
 # higher-order functions, and an unrolled form outgrew the JVM's method size.
 UNROLL_TERMS = 32
-# Edge lists up to this many rows are finished inside one task.
-LOCAL_EDGES = 200_000
 
 _local_dirs: dict[str, str] = {}
 _paths: dict[int, tuple[DataFrame, str]] = {}

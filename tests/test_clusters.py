@@ -54,19 +54,16 @@ def rand_edges(seed, n, m, weights):
     return [(a, b, float(r.choice(weights))) for a, b in r.sample(pool, m)]
 
 
-@pytest.mark.parametrize("local", [0, 10 ** 6])
 @pytest.mark.parametrize("descending", [True, False])
-def test_forest_and_history(spark, local, descending):
+def test_forest_and_history(spark, descending):
     edges = rand_edges(4, 40, 70, range(12))  # ties and several components
     want = kruskal(edges, descending)
     df = spark.createDataFrame(edges, EDGE).repartition(3)
     nodes = spark.range(40).withColumnRenamed("id", "doc_id")
     for replay in (5, 1000):  # several runs of steps, and one
-        res = hac.hac(df, nodes, 10 ** 9, "single" if descending else "min_similarity", local, replay)
+        res = hac.hac(df, nodes, 10 ** 9, "single" if descending else "min_similarity", replay)
         got = sorted(tuple(r) for r in res.history.select("step", "old_id", "new_id", "sim").collect())
         assert got == want
-        if local:
-            break
 
 
 @pytest.mark.parametrize("linkage,levels", [("single", SINGLE_LEVELS), ("min_similarity", MIN_LEVELS)])
@@ -123,11 +120,10 @@ def test_dot_similarities(spark):
 
 
 @pytest.mark.parametrize("linkage", ["single", "min_similarity"])
-@pytest.mark.parametrize("local", [0, 10 ** 6])
-def test_hac_documents_with_copies(spark, linkage, local):
+def test_hac_documents_with_copies(spark, linkage):
     docs = rand_docs(2, 40, 30, 20)
     want = kruskal(dots(docs), linkage == "single")
-    res = hac.hac_documents(bow_frame(spark, docs), 10 ** 9, linkage, block_docs=9, local_edges=local)
+    res = hac.hac_documents(bow_frame(spark, docs), 10 ** 9, linkage, block_docs=9)
     got = sorted(tuple(r) for r in res.history.select("step", "old_id", "new_id", "sim").collect())
     assert got == want
 
