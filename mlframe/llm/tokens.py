@@ -24,6 +24,8 @@ SHARD_IDS, SHARD_DOCS = 4_000_000, 1_000_000
 LOT_BYTES = 6_000_000
 # Words a Python worker remembers before it starts anew.
 CACHE = 900_000
+# New words are encoded so many at a time: the library keeps some hundred bytes a token while it works, and the worker never gives them back.
+LEARN = 20_000
 HEADER = struct.Struct("<4sHHqqqqq")
 MAGIC = b"EFTK"
 SAMPLE = 512
@@ -150,7 +152,9 @@ class Encoder:
         split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
         here = set().union(*split)  # few enough for the processor's cache, unlike all words so far
         if new := here.difference(self.words):
-            self._learn(list(new))
+            new = list(new)
+            for k in range(0, len(new), LEARN):
+                self._learn(new[k:k + LEARN])
         end, get = struct.pack("<I", END_ID), {w: self.words[w] for w in here}.__getitem__
         return [b"".join(map(get, ws)) + end for ws in split]
 
