@@ -233,9 +233,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str) -> None:
 
 def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(batch.num_rows):
-            s = Shard(memoryview(batch.column("content")[i].as_buffer()))
-            yield pa.RecordBatch.from_arrays([pa.array([s.number]), pa.array([s.n_ids])], ["shard", "n"])
+        heads = [HEADER.unpack(h.as_py()) for h in batch.column("head")]
+        yield pa.RecordBatch.from_arrays([pa.array([h[3] for h in heads], pa.int64()), pa.array([h[5] for h in heads], pa.int64())], ["shard", "n"])
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +258,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.format("binaryFile").load(path).select("content")
     before = F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = files.mapInArrow(_totals, "shard long, n long").withColumn("before", before).drop("n")
+    heads = files.select(F.substring("content", 1, HEADER.size).alias("head"))  # the ids stay in the JVM
+    base = heads.mapInArrow(_totals, "shard long, n long").withColumn("before", before).drop("n")
     return files.mapInArrow(_documents, "shard long, doc_id long, at long, n_tokens long, ids_crc32 long").join(base, "shard") \
         .select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
