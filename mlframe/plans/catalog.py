@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mlframe.functions import rng, vec
 from mlframe.operators import (bow, canopy, evaluate, forest, graph, hac, kmeans, kmeans_bow, logreg, pairs)
+from mlframe.runtime import scratch_dir
 from mlframe.sources import generate, sinks, text
 
 SEED = 7
@@ -250,6 +253,55 @@ def labels_2d(spark, d):
         "row_id", rnd(F.col("features")[0], 9).alias("x"), rnd(F.col("features")[1], 9).alias("y"), "label")
 
 
+# ---- line files: written to the shared folder and read again ----
+
+def _file(df: DataFrame) -> str:
+    """Path of a new text file that holds the lines of ``df``."""
+    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/lines-{uuid.uuid4().hex}"
+    sinks.write_table(df.select("value"), path, "text")
+    return path
+
+
+def sampled_lines_file(spark, d):
+    lines = table(spark, d, "events").select("event_id", F.concat_ws(",", "event_id", "event_type").alias("value"))
+    return text.read_lines(spark, _file(rng.bernoulli(lines, 0.1, SEED, "event_id", portable=True)))
+
+
+def generated_lines_file(spark, d):
+    points = generate.random_sphere(_ids(spark, d), 3, 100, SEED, portable=True)
+    p = text.read_labeled_vectors(spark, _file(sinks.generated_lines(points)), 3)
+    return p.select(*[rnd(F.col("features")[j]).alias(f"x{j}") for j in range(3)], F.col("center")[2].alias("c2"), "label")
+
+
+def scored_lines_file(spark, d):
+    points = items(spark, d)
+    lines = text.read_lines(spark, _file(sinks.scored_lines(logreg.logreg_predict(points, logreg.logreg_fit(points, 1.0, 3)))))
+    v = F.split("value", ",")
+    return lines.select(rnd(v[0]).alias("probability"), v[1].cast("int").alias("label"), rnd(v[2]).alias("x1"), rnd(v[3]).alias("x2"))
+
+
+def cluster_lines_file(spark, d):
+    """The items of each order on one line behind the order's price and priority."""
+    members = items(spark, d).select(F.floor(F.col("row_id") / 10).alias("cluster"), "row_id", "features")
+    centers = table(spark, d, "orders").select(F.col("o_orderkey").alias("cluster"), F.array(
+        "o_totalprice", F.substring("o_orderpriority", 1, 1).cast("double")).alias("center"))
+    return text.read_lines(spark, _file(sinks.cluster_lines(centers, members)))
+
+
+def cluster_folders(spark, d):
+    """Centres and members in their two folders, joined again from what was read."""
+    centers = evaluate.vector_sum(order_points(spark, d).join(table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("row_id"), F.substring("o_orderpriority", 1, 1).cast("int").alias("cluster")), "row_id"),
+        2, ["cluster"]).select("cluster", F.transform("mean", lambda x: F.round(x, 3)).alias("center"))
+    members = kmeans.assign(order_points(spark, d), centers).select("row_id", "features", "cluster")
+    path = f"{scratch_dir(spark).rstrip('/')}/clusters-{uuid.uuid4().hex}"
+    sinks.write_clusters(centers, members, path, "text")
+    c = text.read_centers(spark, f"{path}/centers", "|", 2)
+    m = text.read_points(spark, f"{path}/clusters", "|", 3, True).withColumn("cluster", F.col("features")[2].cast("int"))
+    return m.join(c, "cluster").select("row_id", "cluster", *[rnd(F.col("features")[j], 3).alias(f"x{j}") for j in range(2)],
+                                       *[rnd(F.col("center")[j], 3).alias(f"c{j}") for j in range(2)])
+
+
 # ---- k-means --------------------------------------------------------------------------------
 
 def kmeans_assign(spark, d):
@@ -355,6 +407,11 @@ def canopy_jaccard(spark, d):
     return canopy.canopy_jaccard(documents_bow(spark, d), 0.15, 0.3)
 
 
+def canopy_max_rounds(spark, d):
+    """Two centres only; the other documents share the canopy NULL."""
+    return canopy.canopy_jaccard(documents_bow(spark, d), 0.15, 0.3, max_rounds=2)
+
+
 def canopy_lines(spark, d):
     return sinks.canopy_lines(canopy.canopy_jaccard(documents_bow(spark, d), 0.5, 0.7))
 
@@ -387,6 +444,14 @@ def hac_history_line(spark, d):
     return sinks.history_line(hac.hac_documents(documents_bow(spark, d), 8, "single").history)
 
 
+def hac_history_lines(spark, d):
+    return sinks.history_lines(hac.hac_documents(documents_bow(spark, d), 8, "single").history)
+
+
+def hac_level_changes(spark, d):
+    return hac.level_changes(hac.hac_documents(documents_bow(spark, d), 8, "single").history)
+
+
 def hac_membership(spark, d):
     return hac.hac_documents(documents_bow(spark, d), 8, "single").membership(8)
 
@@ -512,6 +577,7 @@ ALL = [
     first_independent_set, hac_single_history, hac_min_history, hac_history_line, hac_membership, hac_full_history,
     hac_order_edges, hac_centroid, logreg_theta, logreg_theta_sgd, logreg_score, logreg_accuracy, entropy_by_group,
     split_gain, best_split, tree_depth_2, forest_nodes, forest_votes, forest_predict, oob_error, confusion,
-    forest_lineitem,
+    forest_lineitem, sampled_lines_file, generated_lines_file, scored_lines_file, cluster_lines_file, cluster_folders,
+    canopy_max_rounds, hac_history_lines, hac_level_changes,
 ]
 QUERIES = {f.__name__: f for f in ALL}

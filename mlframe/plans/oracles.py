@@ -351,6 +351,25 @@ SQL: dict[str, str] = {
     "hac_min_history": f"{dot_hac('ASC', 8)} {HISTORY}",
     "hac_history_line": f"""{dot_hac('DESC', 8)} SELECT string_agg('[' || old_id || '; ' || new_id || ']', '' ORDER BY step) AS value
   FROM ({HISTORY})""",
+    "hac_history_lines": f"""{dot_hac('DESC', 8)} SELECT step, '[' || old_id || '; ' || new_id || ']' AS value FROM ({HISTORY})""",
+    "hac_level_changes": f"""{dot_hac('DESC', 8)} SELECT s.step, s.cl AS cluster_id, s.doc AS doc_id FROM st s
+  JOIN st p ON p.doc = s.doc AND p.step = s.step - 1 WHERE s.cl <> p.cl""",
+    "canopy_max_rounds": f"""{jaccard_canopies(0.15)}, first_two AS (SELECT canopy_id, doc_id FROM canopies
+    WHERE canopy_id IN (SELECT id FROM centers ORDER BY id LIMIT 2))
+  SELECT * FROM first_two UNION ALL SELECT NULL, doc_id FROM sz WHERE doc_id NOT IN (SELECT doc_id FROM first_two)""",
+    "sampled_lines_file": f"SELECT event_id || ',' || event_type AS value FROM events WHERE {u('event_id', repr('bernoulli'))} < 0.1",
+    "generated_lines_file": f"""WITH {IDS}, g AS (SELECT row_id, {', '.join(f'{gauss(j)} AS g{j}, {corner(j)} AS k{j}' for j in range(3))} FROM ids)
+  SELECT {', '.join(rnd(f'g{j} / sqrt(g0 * g0 + g1 * g1 + g2 * g2) * 10.0 + k{j}') + f' AS x{j}' for j in range(3))}, k2::DOUBLE AS c2,
+  k0 || '|' || k1 || '|' || k2 || '|' AS label FROM g""",
+    "scored_lines_file": f"""WITH {ITEMS}, {theta_rounds(3, 1.0)} SELECT {rnd(PROB)} AS probability, y AS label,
+  {rnd('f[1]')} AS x1, {rnd('f[2]')} AS x2 FROM pts, t3 t""",
+    "cluster_lines_file": f"""WITH {ITEMS}, m AS (SELECT row_id // 10 AS k, string_agg(f[1] || ', ' || f[2], ', ' ORDER BY row_id, f) AS v
+  FROM pts GROUP BY 1) SELECT o_totalprice::DOUBLE || ', ' || substr(o_orderpriority, 1, 1)::DOUBLE || coalesce(', ' || v, '') AS value
+  FROM orders LEFT JOIN m ON k = o_orderkey""",
+    "cluster_folders": f"""WITH {ORDERS2D}, c0 AS (SELECT cluster, [round(avg(f[1]), 3), round(avg(f[2]), 3)] AS c FROM (
+    SELECT substr(o_orderpriority, 1, 1)::INTEGER AS cluster, f FROM orders JOIN pts ON row_id = o_orderkey) GROUP BY 1),
+  a AS ({nearest('pts', 'c0')}) SELECT row_id, a.cluster, {rnd('f[1]', 3)} AS x0, {rnd('f[2]', 3)} AS x1,
+  {rnd('c[1]', 3)} AS c0, {rnd('c[2]', 3)} AS c1 FROM a JOIN c0 USING (cluster)""",
     "hac_membership": f"{dot_hac('DESC', 8)} SELECT cl AS cluster_id, doc AS doc_id FROM st WHERE step = 8",
     "hac_centroid": f"""WITH RECURSIVE sp AS (SELECT o_custkey AS c_custkey, sum(o_totalprice) AS spent, count(*) AS k FROM orders GROUP BY 1),
   pts AS MATERIALIZED (SELECT c_nationkey::BIGINT AS id, avg(c_acctbal) AS x, sum(spent) / sum(k) / 10.0 AS y FROM customer JOIN sp USING (c_custkey) GROUP BY 1),

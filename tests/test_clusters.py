@@ -80,6 +80,18 @@ def test_golden_levels(spark, linkage, levels):
         assert "".join(str(label[d]) for d in range(1, 7)) == level
 
 
+def test_level_changes(spark):
+    merges = [(1, 1, 4), (2, 2, 3), (3, 4, 6), (4, 3, 6), (5, 5, 9), (6, 6, 9)]
+    name, want = {d: d for d in range(1, 10)}, []
+    for step, old, new in merges:
+        for d in [d for d, c in name.items() if c == old]:
+            name[d] = new
+            want.append((step, new, d))
+    got = hac.level_changes(spark.createDataFrame(merges, "step long, old_id long, new_id long"))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert hac.level_changes(spark.createDataFrame([], "step long, old_id long, new_id long")).count() == 0
+
+
 def test_small_edge_list(spark):
     res = hac.hac(spark.createDataFrame(EDGES, EDGE), spark.range(4).withColumnRenamed("id", "doc_id"), 3)
     assert [(r["old_id"], r["new_id"]) for r in res.history.orderBy("step").collect()] == [(2, 3), (0, 3), (1, 3)]
