@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from mlframe.functions.rng import race_key, random_row, uniform
 from mlframe.functions.vec import batch_matrix, checked, unrolled_sq_dist
-from mlframe.runtime import MODEL_BLOCK_VALUES, UNROLL_TERMS
+from mlframe.runtime import MODEL_BLOCK_VALUES, UNROLL_TERMS, discard, durable
 
 Distance = Callable[[Column, Column], Column]
+# Draws of k-means++ between two writings of the distances so far: the work is k * FOLD / 2 distances a point instead of k * k / 2.
+FOLD = 32
 
 
 @dataclass
@@ -247,11 +249,14 @@ def kmeans_pp_init(points: DataFrame, k: int, seed: int = 0, init: str = "d2", f
     ``init='d2'`` draws each next centre with probability proportional to the
     squared distance to the nearest chosen one; ``'farthest'`` takes the
     farthest point.  Each draw is one scan ending in a one-row aggregate.
-    Fewer than k distinct points give fewer centres.
+    A scan measures only the centres drawn since the distances so far were
+    last written (every ``FOLD`` draws).  Fewer than k distinct points give
+    fewer centres.
     """
     if init not in ("d2", "farthest") or first not in ("random", "first"):
         raise ValueError("init is 'd2' or 'farthest', first is 'random' or 'first'")
-    df = points.select("row_id", F.col(features).alias("features")).persist()
+    df = points.select("row_id", F.col(features).alias("features"), F.lit(float("inf")).alias("_so_far")).persist()
+    folded = None  # the table of the distances so far
     try:
         if first == "random":
             row = random_row(df, seed, "row_id", portable).first()
@@ -259,9 +264,15 @@ def kmeans_pp_init(points: DataFrame, k: int, seed: int = 0, init: str = "d2", f
             row = df.agg(F.min_by(F.struct("row_id", "features"), "row_id").alias("r")).where(
                 "r is not null").select("r.*").first()
         chosen = [] if row is None else [(1, row["features"])]
+        done = 0  # centres whose distances are in _so_far
         while chosen and len(chosen) < k:
-            near = nearest(df, _Model(chosen), "features", distance)
-            d2 = F.col("sq_distance") if distance is None else F.col("sq_distance") * F.col("sq_distance")
+            near = nearest(df if folded is None else folded, _Model(chosen[done:]), "features", distance).select(
+                "row_id", "features", F.least("_so_far", "sq_distance").alias("_so_far"))
+            if len(chosen) - done >= FOLD:
+                done, old = len(chosen), folded
+                near = folded = durable(near)
+                discard(old)
+            d2 = F.col("_so_far") if distance is None else F.col("_so_far") * F.col("_so_far")
             near = near.withColumn("_w", d2).where("_w > 0")
             if init == "d2":
                 u = uniform("row_id", seed, f"d{len(chosen)}", portable)
@@ -274,6 +285,7 @@ def kmeans_pp_init(points: DataFrame, k: int, seed: int = 0, init: str = "d2", f
             chosen.append((len(chosen) + 1, row["c"]))
     finally:
         df.unpersist()
+        discard(folded)
     return _Model(chosen).frame(points.sparkSession)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from mlframe.functions.rng import race_key, uniform
+from mlframe.operators import kmeans
 from mlframe.operators.kmeans import Clustering
 from mlframe.runtime import discard, durable
 
@@ -95,17 +96,28 @@ def _choose(postings: DataFrame, k: int, seed: int, init: str, portable: bool) -
     u = uniform("doc_id", seed, "row", portable)
     first = docs.agg(F.min_by("doc_id", F.struct(u, F.col("doc_id"))).alias("d")).first()["d"]
     chosen = [] if first is None else [(1, first)]
-    while chosen and len(chosen) < k:
-        near = nearest_documents(postings, _centers_of(postings, chosen))
-        near = near.where((F.col("sq_distance") > 0) & ~F.col("doc_id").isin([d for _, d in chosen]))
-        if init == "d2":
-            key = race_key(F.col("sq_distance"), uniform("doc_id", seed, f"d{len(chosen)}", portable))
-        else:
-            key = -F.col("sq_distance")
-        pick = near.agg(F.min_by("doc_id", F.struct(key, F.col("doc_id"))).alias("d")).first()["d"]
-        if pick is None:
-            break
-        chosen.append((len(chosen) + 1, pick))
+    folded, done = None, 0  # distances so far, and how many of the chosen they cover
+    try:
+        while chosen and len(chosen) < k:
+            near = nearest_documents(postings, _centers_of(postings, chosen[done:])).select("doc_id", "sq_distance")
+            if folded is not None:
+                near = near.join(folded.withColumnRenamed("sq_distance", "_so_far"), "doc_id").select(
+                    "doc_id", F.least("sq_distance", "_so_far").alias("sq_distance"))
+            if len(chosen) - done >= kmeans.FOLD:
+                done, old = len(chosen), folded
+                near = folded = durable(near)
+                discard(old)
+            left = near.where((F.col("sq_distance") > 0) & ~F.col("doc_id").isin([d for _, d in chosen]))
+            if init == "d2":
+                key = race_key(F.col("sq_distance"), uniform("doc_id", seed, f"d{len(chosen)}", portable))
+            else:
+                key = -F.col("sq_distance")
+            pick = left.agg(F.min_by("doc_id", F.struct(key, F.col("doc_id"))).alias("d")).first()["d"]
+            if pick is None:
+                break
+            chosen.append((len(chosen) + 1, pick))
+    finally:
+        discard(folded)
     return chosen
 
 

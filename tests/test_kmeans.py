@@ -155,6 +155,20 @@ def test_stream(spark, tmp_path):
     assert [(r["cluster"], r["probability"]) for r in rows] == [(0, 0.5), (1, 0.5)]
 
 
+@pytest.mark.parametrize("init", ["d2", "farthest"])
+def test_distances_so_far_change_no_draw(spark, monkeypatch, init):
+    r = random.Random(8)
+    pts = frame(spark, [[r.gauss(0, 9), r.gauss(0, 9)] for _ in range(200)]).repartition(3)
+    bow = spark.createDataFrame([(i, r.randint(0, 30), float(r.randint(1, 5))) for i in range(60) for _ in range(4)],
+                                "doc_id long, term_id long, cnt double")
+    got = []
+    for fold in (1000, 3):
+        monkeypatch.setattr(kmeans, "FOLD", fold)
+        got.append((kmeans.kmeans_pp_init(pts, 9, 4, init).orderBy("cluster").collect(),
+                    kmeans_bow.bow_init(bow, 8, 4, init).orderBy("cluster").collect()))
+    assert got[0] == got[1] and len(got[0][0]) == 9 and len(got[0][1]) == 8
+
+
 def test_planted_documents(spark):
     r = random.Random(14839204302832)
     rows = []
