@@ -10,6 +10,9 @@ from mlframe.functions.rng import exact_sample, uniform
 from mlframe.functions.vec import add_all, batch_matrix, checked, sigmoid, unrolled_dot
 from mlframe.runtime import UNROLL_TERMS
 
+# Fewest rows of a batch of stochastic descent when the caller names no size.
+LEAST_BATCH = 1024
+
 
 def _dims(points: DataFrame) -> int:
     row = points.agg(F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")).first()
@@ -83,21 +86,27 @@ def logreg_fit(points: DataFrame, alpha: float, iterations: int, theta0: list[fl
     return theta
 
 
-def logreg_fit_sgd(points: DataFrame, alpha: float, iterations: int, subset: int = 0, batch: int = 1024,
-                   seed: int = 0, portable: bool = False) -> list[float]:
+def logreg_fit_sgd(points: DataFrame, alpha: float, iterations: int, subset: int = 0, batch: int | None = None,
+                   seed: int = 0, portable: bool = False, steps: int = 64) -> list[float]:
     """Mini-batch gradient descent over the first ``subset`` rows of a seeded shuffle.
 
-    Row-by-row updates are serial by nature.  Here an epoch visits hash-drawn
-    batches of about ``batch`` rows in turn and steps by the mean gradient of
-    each, which reaches the same optimum but not the same digits.  Needs ``row_id``.
+    Row-by-row updates are serial by nature.  Here an epoch visits hash-drawn batches
+    in turn and steps by the mean gradient of each, which reaches the same optimum but
+    not the same digits.  An epoch is at most ``steps`` jobs, so batches grow with the
+    data from ``LEAST_BATCH`` rows on; ``batch`` asks for batches of about so many rows
+    instead, however many jobs that takes.  Needs ``row_id``.
     """
+    if steps < 1 or batch is not None and batch < 1:
+        raise ValueError("steps and batch must be positive")
     dims = _dims(points)
     if subset > 0:
         points = exact_sample(points, subset, uniform("row_id", seed, "shuffle", portable), "row_id")
         total = subset
     else:
         total = points.count()
-    n_batches = max(1, -(-total // batch))
+    n_batches = max(1, -(-total // (batch or LEAST_BATCH)))
+    if batch is None:
+        n_batches = min(n_batches, steps)
     b = F.floor(uniform("row_id", seed, "batch", portable) * n_batches).cast("int")
     # sorted by batch, so the cached blocks carry min/max statistics that skip other batches
     df = _prepare(points.withColumn("_b", b), dims, "_b")

@@ -52,6 +52,19 @@ def test_scoring_and_sgd(spark):
         logreg.logreg_fit(df.where("row_id < 0"), 1.0, 1)
 
 
+def test_sgd_steps_do_not_grow_with_the_rows(spark, monkeypatch):
+    df = spark.range(9000).select(F.col("id").alias("row_id"), F.array(F.col("id") / 9000.0).alias("features"),
+                                  (F.col("id") % 2).cast("int").alias("label"))
+    calls, real = [], logreg.gradient
+    monkeypatch.setattr(logreg, "gradient", lambda *a: calls.append(1) or real(*a))
+    for rows, want in ((500, 1), (2500, 3), (9000, 4)):
+        calls.clear()
+        logreg.logreg_fit_sgd(df.where(F.col("row_id") < rows), 0.5, 1, steps=4)
+        assert len(calls) == want
+    with pytest.raises(ValueError):
+        logreg.logreg_fit_sgd(df, 0.5, 1, steps=0)
+
+
 def test_separable_points(spark):
     r = random.Random(2)
     rows = []
