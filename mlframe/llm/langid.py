@@ -8,15 +8,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from mlframe.llm.common import raw, remainder, slices
 
 MODULUS, HELD_OUT = 4, 2
 ORDER = 4
 DISCOUNT = 0.75
-# The models are fitted on whole training texts drawn by hash: about so many characters for each language.
+# The models are fitted on whole training texts in the order of a hash: for each language up to the one that reaches so many characters.
 SAMPLE_CHARS = 1_500_000
+# Running totals over that order are taken by cells of it, 2 ** CELL_BITS for each language.
+CELL_BITS = 12
 # Share of the sample that is kept from the counts to calibrate rejection, and the share of it that may be rejected.
 CALIBRATE, REJECT = 0.2, 0.001
 SEED = 11
@@ -146,27 +148,52 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                  ["lang", "code", "n"])
 
 
+def _counted(rows: DataFrame) -> pa.Table:
+    return rows.select("lang", "text").mapInArrow(_count, "lang string, code long, n long") \
+        .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Texts with a letter and their place in the order of a hash."""
+    return rows.where(F.col("text").rlike(r"\p{L}")).withColumn("place", F.xxhash64("doc_id", "text", F.lit(SEED)))
+
+
+def bounds(rows: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, int]:
+    """For each language of ``rows (doc_id, text, lang)`` the place of the text whose characters bring the running total to ``chars``.
+
+    It is the last place if there are fewer.  Characters are summed by cells of the order; only the cell in which the
+    bound is reached is summed text by text.
+    """
+    before = lambda w: F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sized = _placed(rows).select("lang", "place", F.length("text").alias("size"), F.shiftright("place", 64 - CELL_BITS).alias("cell"))
+    cells = sized.groupBy("lang", "cell").agg(F.sum("size").alias("size"))
+    reached = cells.withColumn("before", before(Window.partitionBy("lang").orderBy("cell"))).where(F.col("before") < chars) \
+        .groupBy("lang").agg(F.max(F.struct("cell", "before")).alias("m")).select("lang", "m.cell", "m.before")
+    inside = sized.join(F.broadcast(reached), ["lang", "cell"]) \
+        .withColumn("before", F.col("before") + before(Window.partitionBy("lang").orderBy("place")))
+    last = inside.where(F.col("before") < chars).groupBy("lang").agg(F.max("place").alias("place"))
+    return {r.lang: r.place for r in last.toLocalIterator()}
+
+
 def train(docs: DataFrame) -> Model | None:
     """Models of every language of the training rows ``(doc_id, text, lang)``; None if there is none.
 
-    Held-out rows and rows without text or lang are never looked at.  Texts are drawn by hash so that each language brings
-    about SAMPLE_CHARS characters (a language with fewer brings all), so counts, models and calibration are bounded.
+    Held-out rows and rows without text or lang are never looked at.  A language's texts in the order of a hash are taken up to
+    the one that reaches SAMPLE_CHARS characters (a language with fewer brings all), so counts, models and calibration are
+    bounded.  About a fifth of them calibrates; a language of which nothing else is left is counted from those too.
     """
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
         .where((remainder(F.col("doc_id"), MODULUS) != HELD_OUT) & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    chars = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars")).where("chars > 0")
-    langs = sorted((r.lang, r.chars) for r in chars.toLocalIterator())
-    if not langs:
+    last = bounds(rows)
+    if not last:
         return None
-    place = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) / float(1 << 30)
-    part = F.create_map(*[x for lang, n in langs for x in (F.lit(lang), F.lit(min(1.0, SAMPLE_CHARS / n)))])
-    drawn = rows.withColumn("at", place / part[F.col("lang")]).where("at < 1")
-    shown, tested = drawn.where(F.col("at") >= CALIBRATE), drawn.where(F.col("at") < CALIBRATE)
-    counts = shown.select("lang", "text").mapInArrow(_count, "lang string, code long, n long") \
-        .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
-    if not counts.num_rows:  # a handful of rows: nothing is left for calibration
-        counts = drawn.select("lang", "text").mapInArrow(_count, "lang string, code long, n long") \
-            .groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+    drawn = _placed(rows).where(F.col("place") <= F.create_map(*[F.lit(x) for kv in sorted(last.items()) for x in kv])[F.col("lang")])
+    spared = F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED + 1)), F.lit(1 << 30)) < int(CALIBRATE * (1 << 30))
+    shown, tested = drawn.where(~spared), drawn.where(spared)
+    counts = _counted(shown)
+    left = sorted(set(last) - set(counts.column("lang").to_pylist()))
+    if left:  # languages of a handful of texts: nothing is left for calibration
+        counts = pa.concat_tables([counts, _counted(tested.where(F.col("lang").isin(left)))])
     if not counts.num_rows:
         return None
     names = sorted(set(counts.column("lang").to_pylist()))
