@@ -14,8 +14,8 @@ from mlframe.llm.common import raw, slices
 from mlframe.runtime import durable
 
 MIN_WORDS = 50
-# A line is boilerplate of its host if more than this many different texts of the host hold it, and more than this share of them.
-LINE_DOCS, LINE_SHARE = 50, 0.02
+# A line is boilerplate of its host if more than this share of the host's different texts hold it; a few texts never make one.
+LINE_DOCS, LINE_SHARE = 3, 0.02
 # A document that keeps less than this share of its words without such lines is rejected.
 KEPT_SHARE = 0.5
 SPACES = b" \t\n\v\f\r"
