@@ -15,7 +15,7 @@ from mlframe.runtime import scratch_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go; texts of the others stay as they are."""
+    """Documents that the quality rules reject go; texts of the others lose the lines that too many texts of their source share."""
     return quality.keep_good(docs)
 
 

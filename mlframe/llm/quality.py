@@ -83,7 +83,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """One row per row of ``docs``: counts, ``n_removed`` (words in lines above the limits), ``base_failed``, ``kept``, ``content``.
+    """One row per row of ``docs``: counts, ``n_removed`` (words in lines above the limits), ``base_failed``, ``kept``;
+    and ``host``, ``content`` and ``cut``, the hash of the text and those of its lines above the limits.
 
     Lines are compared by hash after ``normal_line``.  A host's documents are its different texts, so copies of one text do
     not make its lines frequent.  Null and empty texts have no words and fail; a null host is a host.  Repeated rows get
@@ -100,20 +101,44 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
     often = often.join(t, F.col("host").eqNullSafe(F.col("h"))).where(F.col("n") > line_share * F.col("texts")) \
         .select(F.col("host").alias("h"), F.col("line").alias("k"))
     removed = lines.join(often, F.col("host").eqNullSafe(F.col("h")) & (F.col("line") == F.col("k"))) \
-        .groupBy("rid").agg(F.sum("words").alias("n_removed"))
+        .groupBy("rid").agg(F.sum("words").alias("n_removed"), F.collect_set("line").alias("cut"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     n_removed = F.coalesce("n_removed", F.lit(0))
     return scanned.drop("lines").join(removed, "rid", "left").select(
-        "doc_id", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", n_removed.alias("n_removed"),
+        "doc_id", "host", "content", "cut", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", n_removed.alias("n_removed"),
         failed.alias("base_failed"), (~failed & (F.col("n_words") - n_removed >= KEPT_SHARE * F.col("n_words"))).alias("kept"))
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that pass.  Rows are found again by id and text, so rows without an id are judged too."""
-    bad = judge(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("content").alias("_text")).distinct()
+def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = []
+        for t, cut in zip(raw(batch.column("text")), batch.column("_cut").to_pylist()):
+            if t and cut:
+                keys = {k & 0xFFFFFFFFFFFFFFFF for k in cut}
+                t = b"\n".join(x for x in t.split(b"\n") if not x.split() or xxhash.xxh64_intdigest(normal_line(x), 42) not in keys)
+            texts.append(t)
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array(texts, pa.binary()).cast(pa.string()))
+
+
+def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The rows of ``docs``, all columns, that pass, their texts without the lines above the limits (the rest in order).
+
+    Rows are found again by id, host and text, so rows without an id are judged too.  ``n_chars``, if there is one, follows a
+    text that lost a line.
+    """
+    touched = judge(docs, host).where(~F.col("kept") | F.col("cut").isNotNull()) \
+        .groupBy(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("content").alias("_text")) \
+        .agg(F.first("kept").alias("_kept"), F.first("cut").alias("_cut"))
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (content == F.col("_text")), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col(host).eqNullSafe(F.col("_host")) & (content == F.col("_text"))
+    good = docs.join(touched, same, "left").where(F.coalesce("_kept", F.lit(True))).select(*docs.columns, "_cut")
+    out = good.mapInArrow(_strip, good.schema)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.drop("_cut")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return judge(docs).drop("content")
+    return judge(docs).drop("host", "content", "cut")
