@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from mlframe.llm.common import slices
 
@@ -182,8 +183,9 @@ def _apply(t: Tables, sym: np.ndarray, to: np.ndarray, word: np.ndarray, hits: n
     keep[hits + 1] = False
     at = hits - np.arange(len(hits))  # the places after the gaps are closed
     sym, to, word = sym[keep], to[keep], word[keep]
-    near = np.unique(np.r_[at, at - 1])
-    near = near[near >= 0]
+    changed = np.zeros(len(sym), bool)
+    changed[at] = changed[at[at > 0] - 1] = True
+    near = np.flatnonzero(changed)
     inside = near[near + 1 < len(sym)]
     inside = inside[word[inside] == word[inside + 1]]
     to[near] = 0
@@ -469,7 +471,7 @@ def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "deco
             texts = [decoder.decode(x.values.to_pylist() if x.is_valid else []) for x in column]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, text])
 
-    return rows.mapInArrow(run, rows.schema.add(text, "string"))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(text, StringType())]))
 
 
 def query(docs: DataFrame) -> DataFrame:
