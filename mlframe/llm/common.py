@@ -46,6 +46,37 @@ def slices(batch: pa.RecordBatch, text: str = "text", size: int = SLICE_BYTES) -
         yield batch.slice(a, b - a)
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all given ranges, one range after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+_WEIGHTS = np.random.default_rng(5).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
+
+
+def distinct_runs(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights: np.ndarray = _WEIGHTS) -> tuple[np.ndarray, np.ndarray]:
+    """One of each kind among runs (words) of a flat array, and the kind of every run.
+
+    Runs are told apart by a 64-bit hash and then by their content; if two kinds share a hash, every run counts as its own kind.
+    """
+    if not len(starts):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    place = ranges(np.zeros(len(starts), np.int64), sizes)
+    at = place + np.repeat(starts, sizes)
+    own = codes[at]
+    first = np.cumsum(sizes) - sizes
+    with np.errstate(over="ignore"):
+        mixed = (own.astype(np.uint64) + np.uint64(1)) * weights[place % 64] * (place // 64 + 1).astype(np.uint64)
+        mixed ^= mixed >> np.uint64(29)
+        key = np.add.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), first) + sizes.astype(np.uint64)
+    _, which, of = np.unique(key, return_index=True, return_inverse=True)
+    other = which[of]
+    if (sizes[other] == sizes).all() and (own == codes[ranges(starts[other], sizes)]).all():
+        return which, of
+    return np.arange(len(starts)), np.arange(len(starts))
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Regroup a stream sorted by ``keys`` so that no group is cut; a group must fit in memory."""
     held: list[pa.RecordBatch] = []

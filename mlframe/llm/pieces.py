@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from mlframe.llm.common import slices
+from mlframe.llm.common import distinct_runs, ranges, slices
 
 # Bytes of text in a lot, and characters after which one text is cut between two words.
 LOT_BYTES, CHUNK = 1_000_000, 1_000_000
@@ -249,18 +249,11 @@ def _utf8(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(map(chr, codes.tolist())).encode(), np.uint8), sizes
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers of all given ranges, one range after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
-
-
 class Encoder:
     """Ids of texts, exactly as the sentencepiece library gives them without begin and end ids."""
 
     def __init__(self, model: Model):
         self.t = Tables(model)
-        self.weights = np.random.default_rng(5).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         out = []
@@ -301,31 +294,16 @@ class Encoder:
         ends = np.cumsum(sizes)
         cut[ends[:-1][ends[:-1] < len(codes)]] = True
         starts = np.flatnonzero(cut)
-        which, of, n_words = self._distinct(codes, starts)
+        which, of = distinct_runs(codes, starts, np.diff(np.r_[starts, len(codes)]))
         flat, counts = self._words(codes, sym, starts[which], np.diff(np.r_[starts, len(codes)])[which])
         begin = np.cumsum(counts) - counts
-        ids = flat[_ranges(begin[of], counts[of])]
+        ids = flat[ranges(begin[of], counts[of])]
         # ids of a text: those of its words
         total = np.r_[0, np.cumsum(counts[of])]
         first_word = np.searchsorted(starts, np.r_[0, ends])
         edges = total[first_word]
         return [ids[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
 
-    def _distinct(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """One word of each kind, and the kind of every word."""
-        sizes = np.diff(np.r_[starts, len(codes)])
-        place = np.arange(len(codes)) - np.repeat(starts, sizes)
-        with np.errstate(over="ignore"):
-            mixed = (codes.astype(np.uint64) + np.uint64(1)) * self.weights[place % 64] * (place // 64 + 1).astype(np.uint64)
-            mixed ^= mixed >> np.uint64(29)
-            key = np.add.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), starts) + sizes.astype(np.uint64)
-        _, which, of = np.unique(key, return_index=True, return_inverse=True)
-        other = which[of]
-        same = sizes[other] == sizes
-        if same.all() and (codes == codes[_ranges(starts[other], sizes)]).all():
-            return which, of, len(which)
-        return np.arange(len(starts)), np.arange(len(starts)), len(starts)  # two words share a hash: every word is its own kind
-
     def _words(self, codes, sym, starts, sizes) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the given words, one after the other, and their numbers."""
         t = self.t
@@ -341,7 +319,7 @@ class Encoder:
         middle = np.flatnonzero(~single & ~long)
         if len(middle):
             n = sizes[middle]
-            at = _ranges(starts[middle], n)
+            at = ranges(starts[middle], n)
             merged, counts = _merge_words(t, sym[at].astype(np.int32), np.cumsum(n) - n)
             parts.append(self._spelled(middle, counts, merged))
         for w in np.flatnonzero(long):
@@ -351,7 +329,7 @@ class Encoder:
         flat = np.concatenate([p[2] for p in parts])
         begin = np.cumsum(counts) - counts
         back = np.argsort(words)
-        return flat[_ranges(begin[back], counts[back])], counts[back]
+        return flat[ranges(begin[back], counts[back])], counts[back]
 
     def _spelled(self, words, counts, symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of merged symbols; characters that are no piece themselves are spelled in bytes."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from mlframe.llm import decontam, langid, lattice, merkle, mixing, pieces, pii, quality, simhash, substrings, tokens, warc
+from mlframe.llm import decontam, langid, lattice, merkle, mixing, phrases, pieces, pii, quality, simhash, substrings, tokens, warc
 from mlframe.llm.common import table
 
 
@@ -22,7 +22,9 @@ QUERIES = {
     "op9_repeated_passages": _over("documents", substrings.query),
     "op10_personal_data": _over("documents", pii.query),
     "op11_merkle_proofs": _over("documents", merkle.query),
+    "op12_collocations": _over("documents", phrases.query),
     "op13_sentence_pieces": _over("documents", pieces.query),
 }
 
-SQL = {"op2_source_mixing": mixing.SQL, "op3_warc_round_trip": warc.SQL, "op11_merkle_proofs": merkle.SQL}
+SQL = {"op2_source_mixing": mixing.SQL, "op3_warc_round_trip": warc.SQL, "op11_merkle_proofs": merkle.SQL,
+       "op12_collocations": phrases.SQL}
