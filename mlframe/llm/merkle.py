@@ -161,9 +161,9 @@ SELECT g, step, folded, siblings, top FROM climb
 """
 
 
-def climb(manifest: Manifest) -> DataFrame:
+def climb(manifest: Manifest, with_proof: bool = True) -> DataFrame:
     """One row per leaf of ``manifest.leaves``, which must carry ``found``, the leaf hash of the row as found (32 bytes):
-    ``g, subroot, folded_root, proof`` with the siblings' digests in turn.
+    ``g, subroot, folded_root, proof_sha256`` and, if asked for, ``proof``, the siblings' digests in turn.
 
     Each step of the recursive query joins all leaves with the node rows.  The rows of a node are dealt over stretches of leaves,
     so the upper nodes, which all leaves meet, are no hot keys.  Every step returns only its own siblings; they are put
@@ -172,17 +172,18 @@ def climb(manifest: Manifest) -> DataFrame:
     spark = manifest.leaves.sparkSession
     stretches = F.explode(F.sequence(F.expr(f"lo div {STRETCH}"), F.expr(f"hi div {STRETCH}")))
     nodes = manifest.nodes.withColumn("stretch", stretches).withColumn("kids", F.transform("kids", F.hex)).drop("lo", "hi")
+    parts = F.sort_array(F.collect_list(F.struct("step", "siblings")))
+    proof = F.aggregate(parts, F.unhex(F.lit("")), lambda acc, p: F.concat(acc, p["siblings"]))
+    steps = spark.sql(CLIMB, leaves=manifest.leaves, nodes=nodes)
+    out = steps.groupBy("g").agg(F.max(F.struct("step", "folded"))["folded"].alias("folded_root"), F.max("top").alias("subroot"), proof.alias("proof")) \
+        .withColumn("proof_sha256", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256))
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)
     spark.conf.set(limit, "-1")  # a limit for mistakes in queries; this one ends at the root
     try:
-        steps = durable(spark.sql(CLIMB, leaves=manifest.leaves, nodes=nodes))
+        return durable(out if with_proof else out.drop("proof"))
     finally:
         spark.conf.unset(limit) if before is None else spark.conf.set(limit, before)
-    parts = F.sort_array(F.collect_list(F.struct("step", "siblings")))
-    return steps.groupBy("g").agg(
-        F.max(F.struct("step", "folded"))["folded"].alias("folded_root"), F.max("top").alias("subroot"),
-        F.aggregate(parts, F.unhex(F.lit("")), lambda acc, p: F.concat(acc, p["siblings"])).alias("proof"))
 
 
 def documents_as_leaves(docs: DataFrame) -> DataFrame:
@@ -201,11 +202,11 @@ def query(docs: DataFrame) -> DataFrame:
     if tree.root is None:
         return docs.sparkSession.createDataFrame(
             [], "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
-    folded = climb(tree)
+    folded = climb(tree, with_proof=False)
     text = lambda c: F.lower(F.hex(c))
     return tree.leaves.join(folded, "g").select(
         "doc_id", "leaf", text("subroot").alias("subroot"), F.lit(tree.root).alias("root"),
-        F.sha2(text("proof").cast("binary"), 256).alias("proof_sha256"), text("folded_root").alias("folded_root"),
+        "proof_sha256", text("folded_root").alias("folded_root"),
         (text("folded_root") == F.lit(tree.root)).alias("verified"))
 
 
