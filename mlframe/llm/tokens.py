@@ -14,22 +14,24 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from mlframe.llm.common import raw, slices
+from mlframe.llm.common import distinct_runs, ranges, raw, slices
 from mlframe.runtime import scratch_dir
 
 END_ID = 1
 # A shard is closed after so many ids or documents.
-SHARD_IDS, SHARD_DOCS = 4_000_000, 1_000_000
-# Texts are cut into words in lots of so many bytes.
-LOT_BYTES = 6_000_000
-# Words a Python worker remembers before it starts anew.
-CACHE = 900_000
+SHARD_IDS, SHARD_DOCS = 2_000_000, 500_000
+# Texts are cut into words in lots of so many bytes; nothing of a lot is kept for the next.
+LOT_BYTES = 3_000_000
+# Boundaries read at once.
+PLACES = 4096
 # New words are encoded so many at a time: the library keeps some hundred bytes a token while it works, and the worker never gives them back.
 LEARN = 20_000
 HEADER = struct.Struct("<4sHHqqqqq")
 MAGIC = b"EFTK"
 SAMPLE = 512
 # Pre-tokens of the vocabulary; fixed pattern of the tokenizer file.
+WHITE = np.zeros(256, bool)
+WHITE[list(b" \t\n\v\f\r")] = True
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Words of these characters are the same after normalisation but for case, and hold no special token.
 PLAIN = regex.compile(r"(?!.*<\|)[!-~¡-¬®-ÿ]+")
@@ -50,8 +52,10 @@ class EliasFano:
         if (v[1:] < v[:-1]).any():
             raise ValueError("values must not decrease")
         low_bits = max(0, (int(v[-1]) // n).bit_length() - 1)
-        shift = np.arange(low_bits, dtype=np.uint64)
-        low = np.packbits(((v[:, None] >> shift) & np.uint64(1)).astype(np.uint8), bitorder="little")
+        bits = np.zeros(n * low_bits, np.uint8)
+        for b in range(low_bits):
+            bits[b::low_bits] = (v >> np.uint64(b)) & np.uint64(1)
+        low = np.packbits(bits, bitorder="little")
         ones = (v >> np.uint64(low_bits)) + np.arange(n, dtype=np.uint64)
         bits = np.zeros(int(ones[-1]) + 1, np.uint8)
         bits[ones] = 1
@@ -79,10 +83,23 @@ class EliasFano:
         one = byte * 8 + int(np.flatnonzero(chunk)[left])
         return ((one - i) << self.low_bits) | int(self._low(np.array([i]))[0])
 
+    def select_range(self, start: int, stop: int) -> np.ndarray:
+        """The values from the start-th to before the stop-th, as unsigned numbers; only their own bits are unpacked."""
+        if not 0 <= start <= stop <= self.n:
+            raise IndexError((start, stop))
+        if start == stop:
+            return np.zeros(0, np.uint64)
+        head = start // SAMPLE
+        first, after = int(self.samples[head]), -(-stop // SAMPLE)
+        last = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        bits = np.unpackbits(self.high[first >> 3:(last + 7) >> 3], bitorder="little")
+        bits[:first & 7] = 0
+        ones = np.flatnonzero(bits)[start - head * SAMPLE:stop - head * SAMPLE].astype(np.uint64) + np.uint64(first >> 3 << 3)
+        i = np.arange(start, stop)
+        return (ones - i.astype(np.uint64)) << np.uint64(self.low_bits) | self._low(i)
+
     def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n].astype(np.uint64)
-        i = np.arange(self.n)
-        return ((ones - i.astype(np.uint64)) << np.uint64(self.low_bits) | self._low(i)).astype(np.int64)
+        return self.select_range(0, self.n).astype(np.int64)
 
     def to_bytes(self) -> bytes:
         return b"".join([struct.pack("<qqqqq", self.n, self.low_bits, len(self.low), len(self.high), len(self.samples)),
@@ -97,7 +114,7 @@ class EliasFano:
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library.  No token crosses white space, so words are encoded once and kept."""
+    """Ids of texts by the tokenizers library.  No token crosses white space, so the distinct words of a lot are encoded once."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -107,8 +124,6 @@ class Encoder:
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-
         # the same vocabulary for single lower-case pre-tokens: nothing is left to normalise or to cut but spaces
         self.merger = Tokenizer.from_str(tokenizer_json)
         self.merger.normalizer = normalizers.Sequence([])
@@ -119,44 +134,61 @@ class Encoder:
     def _ids(tokenizer, text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """Ids of each word, as bytes."""
+        out: list[bytes] = [b""] * len(new)
         plain, cut = [], []
-        for w in new:
+        for i, w in enumerate(new):
             s = w.decode()
             if s.isascii() and s.isalpha():
-                plain.append((w, 1))
+                plain.append((i, 1))
                 cut.append(s.lower())
             elif s.isascii() and s[:-1].isalpha() and s[-1] in ",.;:!?":
-                plain.append((w, 2))
+                plain.append((i, 2))
                 cut += (s[:-1].lower(), s[-1])
             elif PLAIN.fullmatch(s):
                 pieces = PRE_TOKEN.findall(s.lower())
-                plain.append((w, len(pieces)))
+                plain.append((i, len(pieces)))
                 cut += pieces
             else:
-                self.words[w] = self._ids(self.tokenizer, s).tobytes()
+                out[i] = self._ids(self.tokenizer, s).tobytes()
         ids = self._ids(self.merger, " ".join(cut))
         stop = np.r_[0, np.flatnonzero(self.ends[ids]) + 1]
         if len(stop) != len(cut) + 1:  # a token of the vocabulary that ends no pre-token where it should
-            self.words.update((w, self._ids(self.tokenizer, w.decode()).tobytes()) for w, _ in plain)
-            return
+            for i, _ in plain:
+                out[i] = self._ids(self.tokenizer, new[i].decode()).tobytes()
+            return out
         data, at = ids.tobytes(), (4 * stop[np.cumsum([0, *(n for _, n in plain)])]).tolist()
-        for k, (w, _) in enumerate(plain):
-            self.words[w] = data[at[k]:at[k + 1]]
+        for k, (i, _) in enumerate(plain):
+            out[i] = data[at[k]:at[k + 1]]
+        return out
 
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, with the end id."""
-        if len(self.words) > CACHE:
-            self.words.clear()
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text, with the end id, as slices of one array per lot."""
         # the vocabulary knows no upper case; only special tokens, which start with <|, must keep theirs
-        split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-        here = set().union(*split)  # few enough for the processor's cache, unlike all words so far
-        if new := here.difference(self.words):
-            new = list(new)
-            for k in range(0, len(new), LEARN):
-                self._learn(new[k:k + LEARN])
-        end, get = struct.pack("<I", END_ID), {w: self.words[w] for w in here}.__getitem__
-        return [b"".join(map(get, ws)) + end for ws in split]
+        data = np.frombuffer(b"\n".join([(t if b"<|" in t else t.lower()) if t else b"" for t in texts]) + b"\n", np.uint8)
+        sizes = np.array([len(t) if t else 0 for t in texts])
+        ends = np.cumsum(sizes + 1)
+        edge = np.flatnonzero(np.diff(np.r_[False, ~WHITE[data], False].view(np.int8)))
+        starts, lengths = edge[::2], edge[1::2] - edge[::2]
+        which, of = distinct_runs(data, starts, lengths)
+        new = [data[a:a + n].tobytes() for a, n in zip(starts[which].tolist(), lengths[which].tolist())]
+        coded: list[bytes] = []
+        for k in range(0, len(new), LEARN):
+            coded += self._learn(new[k:k + LEARN])
+        counts = np.array([len(x) // 4 for x in coded], np.int64)
+        flat = np.frombuffer(b"".join(coded), "<u4").astype(f"<u{self.width}")
+        per_word = counts[of]
+        # word by word, with room for the end id after the last word of each text
+        words = np.diff(np.searchsorted(starts, np.r_[0, ends]))
+        total = np.add.reduceat(np.r_[per_word, 0], np.minimum(np.cumsum(words) - words, len(per_word))) * (words > 0) + 1
+        stop = np.cumsum(total)
+        out = np.empty(int(stop[-1]) if len(stop) else 0, f"<u{self.width}")
+        last = np.zeros(len(out), bool)
+        last[stop - 1] = True
+        out[last] = END_ID
+        out[~last] = flat[ranges((np.cumsum(counts) - counts)[of], per_word)]
+        return [out[a:b] for a, b in zip((stop - total).tolist(), stop.tolist())]
 
 
 @functools.lru_cache(1)
@@ -164,14 +196,13 @@ def _encoder(tokenizer_json: str) -> Encoder:
     return Encoder(tokenizer_json)
 
 
-def shard(number: int, doc_ids: list[int | None], ids: list[bytes], width: int) -> bytes:
-    """One shard: header, coded doc ids, coded document ends, ids.  Null doc ids come first."""
+def shard(number: int, doc_ids: list[int | None], counts: list[int], body: bytes, width: int) -> bytes:
+    """One shard: header, coded doc ids, coded document ends, ids of ``width`` bytes.  Null doc ids come first."""
     known = np.array([d for d in doc_ids if d is not None], np.int64)
     least = int(known[0]) if len(known) else 0
-    ends = np.cumsum([len(x) // 4 for x in ids])
-    body = np.frombuffer(b"".join(ids), "<u4")
-    return b"".join([HEADER.pack(MAGIC, 1, width, number, len(doc_ids), len(body), least, len(doc_ids) - len(known)),
-                     EliasFano.encode(known - least).to_bytes(), EliasFano.encode(ends).to_bytes(), body.astype(f"<u{width}").tobytes()])
+    above = known.view(np.uint64) - np.uint64(least % (1 << 64))  # ids may lie more than 2^63 apart
+    return b"".join([HEADER.pack(MAGIC, 1, width, number, len(doc_ids), len(body) // width, least, len(doc_ids) - len(known)),
+                     EliasFano.encode(above).to_bytes(), EliasFano.encode(np.cumsum(counts)).to_bytes(), body])
 
 
 class Shard:
@@ -193,25 +224,32 @@ class Shard:
     def ids(self, i: int) -> np.ndarray:
         return self.body[self.ends.select(i - 1) if i else 0:self.ends.select(i)]
 
+    def places(self, start: int, stop: int) -> tuple[list[int | None], np.ndarray]:
+        """Doc ids of the documents from ``start`` to before ``stop``, and their boundaries, one more than documents."""
+        known = self.doc_ids.select_range(max(start, self.nulls) - self.nulls, max(stop, self.nulls) - self.nulls)
+        ids = (known + np.uint64(self.least % (1 << 64))).view(np.int64).tolist()
+        before = self.ends.select(start - 1) if start else 0
+        return [None] * (stop - start - len(ids)) + ids, np.r_[before, self.ends.select_range(start, stop).astype(np.int64)]
+
 
 def _write(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         number = TaskContext.get().partitionId() << 32
-        docs, ids, size = [], [], 0
+        docs, counts, body = [], [], bytearray()
 
         def close() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([shard(number, docs, ids, encoder.width)], pa.binary())], ["shard"])
+            return pa.RecordBatch.from_arrays([pa.array([shard(number, docs, counts, bytes(body), encoder.width)], pa.binary())], ["shard"])
 
         for batch in batches:
             for part in slices(batch, size=LOT_BYTES):
                 for d, x in zip(part.column("doc_id").to_pylist(), encoder.encode(raw(part.column("text")))):
                     docs.append(d)
-                    ids.append(x)
-                    size += len(x) // 4
-                    if size >= SHARD_IDS or len(docs) >= SHARD_DOCS:
+                    counts.append(len(x))
+                    body += x.tobytes()
+                    if len(body) >= SHARD_IDS * encoder.width or len(docs) >= SHARD_DOCS:
                         yield close()
-                        docs, ids, size = [], [], 0
+                        docs, counts, body = [], [], bytearray()
                         number += 1
         if docs:
             yield close()
@@ -241,14 +279,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             s = Shard(memoryview(batch.column("content")[i].as_buffer()))
-            ends = s.ends.values()
-            starts = np.r_[0, ends[:-1]]
-            ids = [None] * s.nulls + (s.least + s.doc_ids.values()).tolist()
-            data = s.body.astype("<u4").tobytes()
-            crc = [zlib.crc32(data[a * 4:b * 4]) for a, b in zip(starts.tolist(), ends.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s.number] * s.n_docs), pa.array(ids, pa.int64()), pa.array(starts), pa.array(ends - starts), pa.array(crc, pa.int64())],
-                ["shard", "doc_id", "at", "n_tokens", "ids_crc32"])
+            for k in range(0, s.n_docs, PLACES):
+                ids, at = s.places(k, min(k + PLACES, s.n_docs))
+                crc = [zlib.crc32(s.body[a:b].astype("<u4")) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s.number] * len(ids)), pa.array(ids, pa.int64()), pa.array(at[:-1]), pa.array(np.diff(at)), pa.array(crc, pa.int64())],
+                    ["shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

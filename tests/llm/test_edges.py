@@ -207,9 +207,14 @@ def test_elias_fano():
         assert back.values().tolist() == values and end == len(coded.to_bytes())
         for i in range(0, len(values), 97):
             assert back.select(i) == values[i]
-    data = tokens.shard(3, [None, 4, 4, 9], [b"\1\0\0\0", b"\2\0\0\0\3\0\0\0", b"", b"\7\0\0\0"], 2)
+            for j in (i, min(i + 1, len(values)), min(i + 700, len(values)), len(values)):
+                assert back.select_range(i, j).tolist() == values[i:j]
+    far = tokens.Shard(memoryview(tokens.shard(0, [-2**63, 2**63 - 1], [1, 1], b"\1\0\1\0", 2)))
+    assert far.places(0, 2)[0] == [-2**63, 2**63 - 1]
+    data = tokens.shard(3, [None, 4, 4, 9], [1, 2, 0, 1], b"\1\0\2\0\3\0\7\0", 2)
     s = tokens.Shard(memoryview(data + b"\n"))
     assert [s.doc_id(i) for i in range(4)] == [None, 4, 4, 9] and [s.ids(i).tolist() for i in range(4)] == [[1], [2, 3], [], [7]]
+    assert s.places(0, 4)[0] == [None, 4, 4, 9] and s.places(1, 3)[1].tolist() == [1, 3, 3]
 
 
 def test_substrings(spark, docs):
