@@ -10,12 +10,19 @@ per-range offsets, so the root of a tree is never one task's work.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, FloatType, LongType, StringType, StructField, StructType
 
 from mlframe.functions.rng import cut_points, feature_subset, uniform
 from mlframe.functions.vec import add_all
-from mlframe.runtime import durable, spread
+from mlframe.operators import bins
+from mlframe.runtime import MODEL_BLOCK_VALUES, durable, spread
 
 CUT_LEVELS = 8  # levels chained as (mostly broadcast) joins before the rows are written again
 
@@ -116,6 +123,40 @@ def best_split(df: DataFrame, by: list[str], classes: list | None = None) -> Dat
     return _best(split_candidates(df, by, classes or class_list(df)), by)
 
 
+@dataclass
+class Tree:
+    """A tree in arrays: feature (-1 at leaves), threshold, left and right child, and the label, of every node; node 0 is the root."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    labels: list
+
+    @classmethod
+    def of(cls, rows: list) -> Tree:
+        rows = sorted(rows, key=lambda r: (len(r["node_id"]), r["node_id"]))
+        at = {r["node_id"]: i for i, r in enumerate(rows)}
+        child = lambda side: np.array([at.get(r["node_id"] + side, 0) for r in rows], np.int64)
+        return cls(np.array([-1 if r["feature"] is None else r["feature"] for r in rows], np.int64),
+                   np.array([np.nan if r["threshold"] is None else r["threshold"] for r in rows]), child("0"), child("1"),
+                   [r["prediction"] for r in rows])
+
+    def walk(self, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The node that each vector (a run of ``values``) ends in."""
+        node = np.zeros(len(starts) - 1, np.int64)
+        moving = np.arange(len(node))
+        while len(moving):
+            f = self.feature[node[moving]]
+            moving, f = moving[f >= 0], f[f >= 0]
+            if (f >= starts[moving + 1] - starts[moving]).any():
+                raise ValueError("a vector is too short for the model")
+            v, cut = values[starts[moving] + f], self.threshold[node[moving]]
+            right = (v > cut) | np.isnan(v)
+            node[moving] = np.where(right, self.right[node[moving]], self.left[node[moving]])
+        return node
+
+
 class ForestModel:
     """Node table (tree_id, node_id, feature, threshold, n, prediction, dist) with scoring methods."""
 
@@ -139,6 +180,52 @@ class ForestModel:
         leaf = self.nodes.select("tree_id", "node_id", "prediction", F.col("n_prediction").alias("score"))
         return df.join(leaf, ["tree_id", "node_id"])
 
+    def walker(self) -> list[Tree]:
+        """The trees as arrays, for scoring without joins; a model of at most MODEL_BLOCK_VALUES nodes."""
+        rows = self.nodes.select("tree_id", "node_id", "feature", "threshold", "prediction").limit(MODEL_BLOCK_VALUES + 1).collect()
+        if len(rows) > MODEL_BLOCK_VALUES:
+            raise ValueError("too many nodes for one task: score by joins (votes, predict)")
+        trees: dict[int, list] = {}
+        for r in rows:
+            trees.setdefault(r["tree_id"], []).append(r)
+        return [Tree.of(trees[t]) for t in sorted(trees)]
+
+    def score(self, points: DataFrame) -> DataFrame:
+        """``points`` with ``prediction`` and ``share``, as ``predict`` gives them, row by row: no join and no shuffle, also on streams.
+
+        The trees go to the tasks as arrays; a batch of rows walks down a tree together, one step a level.  A NULL component goes left
+        and NaN right, as in the joins; rows without a vector are rejected.
+        """
+        for c in ("prediction", "share"):
+            if c in points.columns:
+                raise ValueError(f"the input already has a column {c}")
+        trees, n_trees = self.walker(), self.n_trees
+        label = self.nodes.schema["prediction"].dataType
+        labels = sorted({x for t in trees for x in t.labels})
+        kind = pa.string() if isinstance(label, StringType) else pa.float64() if isinstance(label, (DoubleType, FloatType)) else pa.int64()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            number = {x: i for i, x in enumerate(labels)}
+            for batch in batches:
+                vectors = batch.column(batch.schema.get_field_index("features"))
+                if vectors.null_count:
+                    raise ValueError("a row has no vector")
+                flat = vectors.flatten()
+                starts = np.r_[0, np.cumsum(pc.list_value_length(vectors).to_numpy())]
+                values = pc.fill_null(flat, -np.inf).to_numpy(zero_copy_only=False)
+                votes = np.zeros((len(vectors), len(labels)), np.int64)
+                for t in trees:
+                    leaf = t.walk(values, starts)
+                    votes[np.arange(len(leaf)), np.array([number[x] for x in t.labels])[leaf]] += 1
+                best = votes.argmax(axis=1)  # the first, so the smallest label wins a tie
+                names = pa.array([labels[i] for i in best.tolist()], kind)
+                share = votes[np.arange(len(best)), best] / n_trees
+                yield pa.RecordBatch.from_arrays([*batch.columns, names, pa.array(share)], [*batch.schema.names, "prediction", "share"])
+
+        out = {pa.string(): StringType(), pa.float64(): DoubleType()}.get(kind, LongType())
+        scored = points.mapInArrow(run, StructType([*points.schema.fields, StructField("prediction", out), StructField("share", DoubleType())]))
+        return scored.withColumn("prediction", F.col("prediction").cast(label))
+
     def _per_tree(self, points: DataFrame) -> DataFrame:
         trees = F.explode(F.sequence(F.lit(1), F.lit(self.n_trees))).alias("tree_id")
         return self._route(points.select("row_id", "features", trees))
@@ -183,11 +270,20 @@ def bootstrap(df: DataFrame, ratio: float, n_trees: int, seed: int = 0, exact: b
     scan and never written.  ``exact=False`` draws each row independently with
     probability ``ratio``.
     """
-    distinct = df.groupBy("features", "label").agg(F.min("row_id").alias("row_id"), F.count("*").alias("_copies"))
-    distinct = spread(durable(distinct))
+    return _bags(distinct_rows(df), ratio, n_trees, seed, exact, portable)
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """(features, label, row_id, _copies): one row per vector and label, written."""
+    return spread(durable(df.groupBy("features", "label").agg(F.min("row_id").alias("row_id"), F.count("*").alias("_copies"))))
+
+
+def _bags(distinct: DataFrame, ratio: float, n_trees: int, seed: int, exact: bool, portable: bool) -> DataFrame:
+    """``distinct`` without ``_copies``, once per tree, with tree_id and in_bag."""
+    columns = [c for c in distinct.columns if c != "_copies"]
     trees = F.explode(F.sequence(F.lit(1), F.lit(n_trees))).alias("tree_id")
     u = uniform("row_id", seed, F.concat(F.lit("bag"), F.col("tree_id").cast("string")), portable)
-    rows = distinct.select("row_id", "features", "label", trees)
+    rows = distinct.select(*columns, trees)
     if not exact:
         return rows.withColumn("in_bag", u < ratio)
     total = distinct.agg(F.sum("_copies").alias("n")).first()["n"] or 0
@@ -196,7 +292,17 @@ def bootstrap(df: DataFrame, ratio: float, n_trees: int, seed: int = 0, exact: b
         return rows.withColumn("in_bag", F.lit(False))
     cut = durable(cut_points(rows, size, u, "row_id", ["tree_id"]))  # one row per tree
     below = F.struct(u.alias("u"), F.col("row_id").alias("id")) <= F.col("cut")
-    return rows.join(F.broadcast(cut), "tree_id").select("row_id", "features", "label", "tree_id", below.alias("in_bag"))
+    return rows.join(F.broadcast(cut), "tree_id").select(*columns, "tree_id", below.alias("in_bag"))
+
+
+def vector_size(df: DataFrame) -> int:
+    """The common size of all vectors."""
+    row = df.agg(F.min(F.size("features")).alias("lo"), F.max(F.size("features")).alias("hi")).first()
+    if row["lo"] is None:
+        raise ValueError("no training rows")
+    if row["lo"] != row["hi"]:
+        raise ValueError("vectors differ in size")
+    return row["lo"]
 
 
 def _profile(df: DataFrame) -> tuple[int, list]:
@@ -211,12 +317,22 @@ def _profile(df: DataFrame) -> tuple[int, list]:
 
 
 def forest_fit(df: DataFrame, n_trees: int = 200, m: int = 10, max_depth: int | None = None, ratio: float = 0.66,
-               seed: int = 0, exact: bool = True, portable: bool = False) -> ForestModel:
+               seed: int = 0, exact: bool = True, portable: bool = False, max_bins: int | None = None) -> ForestModel:
     """Fit ``n_trees`` trees on rows (row_id, features, label).
 
     Each node looks at ``m`` randomly drawn features.  A node is final when it
     is pure, at ``max_depth``, or when no value of its features separates rows.
+    With ``max_bins`` only quantiles of each feature are tried as thresholds, see
+    ``bins``; a feature of at most so many values loses none of its splits.
     """
+    if max_bins is not None:
+        dims = vector_size(df)
+        edges = bins.quantile_edges(df, max_bins)
+        distinct = spread(durable(bins.to_bins(distinct_rows(df), bins.collect_edges(edges, dims))))
+        rows = _bags(distinct, ratio, n_trees, seed, exact, portable)
+        nodes, depth = bins.grow(rows.where("in_bag").select("tree_id", F.lit("1").alias("node_id"), "bins", "label"),
+                                 edges, dims, m, max_depth, seed, portable)
+        return ForestModel(nodes, n_trees, depth, rows)
     dims, classes = _profile(df)
     rows = bootstrap(df, ratio, n_trees, seed, exact, portable)
     nodes, depth = grow(rows.where("in_bag").select("tree_id", F.lit("1").alias("node_id"), "features", "label"),
@@ -224,8 +340,16 @@ def forest_fit(df: DataFrame, n_trees: int = 200, m: int = 10, max_depth: int |
     return ForestModel(nodes, n_trees, depth, rows)
 
 
-def tree_fit(df: DataFrame, m: int, max_depth: int | None = None, seed: int = 0, portable: bool = False) -> ForestModel:
-    """One tree on all rows (no bootstrap)."""
+def tree_fit(df: DataFrame, m: int, max_depth: int | None = None, seed: int = 0, portable: bool = False,
+             max_bins: int | None = None) -> ForestModel:
+    """One tree on all rows (no bootstrap); ``max_bins`` as in ``forest_fit``."""
+    if max_bins is not None:
+        dims = vector_size(df)
+        edges = bins.quantile_edges(df, max_bins)
+        binned = durable(bins.to_bins(df, bins.collect_edges(edges, dims)))
+        rows = binned.select(F.lit(1).alias("tree_id"), F.lit("1").alias("node_id"), "bins", "label")
+        nodes, depth = bins.grow(rows, edges, dims, m, max_depth, seed, portable)
+        return ForestModel(nodes, 1, depth, df.withColumn("tree_id", F.lit(1)).withColumn("in_bag", F.lit(True)))
     dims, classes = _profile(df)
     rows = df.select(F.lit(1).alias("tree_id"), F.lit("1").alias("node_id"), "features", "label")
     nodes, depth = grow(rows, classes, dims, m, max_depth, seed, portable)

@@ -456,20 +456,54 @@ def hac_membership(spark, d):
     return hac.hac_documents(documents_bow(spark, d), 8, "single").membership(8)
 
 
+def hac_memberships(spark, d):
+    """Clusters after 0, 3 and 8 merges, in one go."""
+    steps = text.in_memory(spark, [(0,), (3,), (8,)], "step bigint")
+    return hac.hac_documents(documents_bow(spark, d), 8, "single").memberships(steps)
+
+
+def doc_near_copies(spark, d):
+    """Near copies: here the prefixes are short and their join is the cheaper way."""
+    return pairs.jaccard_pairs(documents_bow(spark, d), 0.8).select("a", "b", rnd("sim").alias("sim"))
+
+
+def doc_dot_large(spark, d):
+    """Only large similarities: blocks of short documents are never multiplied."""
+    return pairs.dot_similarities(documents_bow(spark, d), min_sim=2000.0)
+
+
+def hash_independent_set(spark, d):
+    """The chains of ``first_independent_set`` in the order of seeded numbers: logarithmic rounds."""
+    o = table(spark, d, "orders")
+    nxt = F.lead("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
+    edges = o.select(F.col("o_orderkey").alias("a"), nxt.alias("b")).where("b is not null")
+    return graph.first_mis(o.select(F.col("o_orderkey").alias("v")), edges, "hash", SEED, portable=True)
+
+
 def hac_full_history(spark, d):
     return hac.hac_documents(documents_bow(spark, d), 2 ** 62, "single").history
 
 
-def hac_order_edges(spark, d):
-    """HAC on a given edge table: suppliers and parts, linked by the quantity sold together."""
+def _sold_together(spark, d):
+    """An edge table: suppliers and parts, linked by the quantity sold together."""
     li = table(spark, d, "lineitem")
     edges = li.groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("sim")).select(
         F.col("l_suppkey").alias("a"), (F.col("l_partkey") + 10_000_000_000).alias("b"), "sim")
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    return edges, edges.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
+def hac_order_edges(spark, d):
+    """HAC on a given edge table, up to one cluster: number of merges and sum of similarities."""
+    edges, nodes = _sold_together(spark, d)
     return hac.hac(edges, nodes, 2 ** 62, "single").merges.agg(
         F.count("*").alias("n_merges"), F.sum("sim").alias("total"))
 
 
+def hac_order_history(spark, d):
+    """The same merges, one by one."""
+    return hac.hac(*_sold_together(spark, d), 2 ** 62, "single").history
+
+
 def hac_centroid(spark, d):
     """Nations as points (mean balance, mean order value), merged up to one cluster."""
     c = table(spark, d, "customer").join(
@@ -547,6 +581,12 @@ def forest_predict(spark, d):
     return _model(spark, d).predict(all_doc_features(spark, d)).select("row_id", "prediction", rnd("share").alias("share"))
 
 
+def forest_scores(spark, d):
+    """The same predictions without a join: trees as arrays, walked by batches of rows."""
+    scored = _model(spark, d).score(all_doc_features(spark, d))
+    return scored.select("row_id", "prediction", rnd("share").alias("share"))
+
+
 def oob_error(spark, d):
     return _model(spark, d).oob_error().select(rnd("error").alias("error"))
 
@@ -557,13 +597,35 @@ def confusion(spark, d):
     return evaluate.confusion_matrix(scored)
 
 
-def forest_lineitem(spark, d):
-    """A forest on the largest table; its mean out-of-bag error."""
-    data = table(spark, d, "lineitem").select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"),
+def _returned(spark, d):
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")  # some lines of an order share a number
+    return table(spark, d, "lineitem").select(
+        ((line * 100_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")).alias("row_id"),
         F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("features"),
         F.col("l_returnflag").alias("label"))
-    return forest.forest_fit(data, 3, 2, 3, 0.66, SEED).oob_by_tree().select("tree_id", "n", rnd("error").alias("error"))
+
+
+def forest_lineitem(spark, d):
+    """A forest on the largest table; each tree's out-of-bag error."""
+    model = forest.forest_fit(_returned(spark, d), 3, 2, 3, 0.66, SEED, portable=True)
+    return model.oob_by_tree().select("tree_id", "n", rnd("error").alias("error"))
+
+
+def forest_lineitem_binned(spark, d):
+    """The same forest on quantiles of its features."""
+    model = forest.forest_fit(_returned(spark, d), 3, 2, 3, 0.66, SEED, portable=True, max_bins=64)
+    return model.oob_by_tree().select("tree_id", "n", rnd("error").alias("error"))
+
+
+def forest_binned_nodes(spark, d):
+    nodes = forest.forest_fit(doc_features(spark, d), 3, 2, 3, 0.7, SEED, portable=True, max_bins=8).nodes
+    return nodes.select("tree_id", "node_id", "feature", "threshold", "n", "prediction", "n_prediction")
+
+
+def tree_binned(spark, d):
+    """Every node looks at all features, so only smaller children are counted."""
+    nodes = forest.tree_fit(doc_features(spark, d), 4, 4, SEED, portable=True, max_bins=32).nodes
+    return nodes.select("node_id", "feature", "threshold", "n", "prediction", "n_prediction")
 
 
 ALL = [
@@ -578,6 +640,8 @@ ALL = [
     hac_order_edges, hac_centroid, logreg_theta, logreg_theta_sgd, logreg_score, logreg_accuracy, entropy_by_group,
     split_gain, best_split, tree_depth_2, forest_nodes, forest_votes, forest_predict, oob_error, confusion,
     forest_lineitem, sampled_lines_file, generated_lines_file, scored_lines_file, cluster_lines_file, cluster_folders,
-    canopy_max_rounds, hac_history_lines, hac_level_changes,
+    canopy_max_rounds, hac_history_lines, hac_level_changes, forest_lineitem_binned, forest_binned_nodes, tree_binned,
+    forest_scores, hac_memberships, doc_near_copies, doc_dot_large, hash_independent_set,
+    hac_order_history,
 ]
 QUERIES = {f.__name__: f for f in ALL}

@@ -94,41 +94,57 @@ def gain_sql(left: list[str], right: list[str]) -> str:
     return f"({h(tot, n)} - ({nl} / {n}::DOUBLE * {h(left, nl)} + {nr} / {n}::DOUBLE * {hr}))"
 
 
-def tree_levels(rows: str, depth: int, m: int, dims: int = 4) -> str:
+def tree_levels(rows: str, depth: int, m: int, dims: int = 4, classes: tuple = (0, 1)) -> str:
     """CTEs w1.. (rows per level), s1.. (node statistics) and b1.. (splits), and ``nodes``."""
+    ks = range(len(classes))
+    counts = ", ".join(f"count(*) FILTER (label = {c!r}) AS k{i}" for i, c in enumerate(classes))
     out = [f"w1 AS MATERIALIZED (SELECT tree_id, '1' AS node_id, f, label FROM {rows})"]
     for i in range(1, depth + 2):
-        out.append(f"""s{i} AS MATERIALIZED (SELECT tree_id, node_id, count(*) AS n, count(*) FILTER (label = 0) AS k0,
-  count(*) FILTER (label = 1) AS k1 FROM w{i} GROUP BY 1, 2)""")
+        out.append(f"s{i} AS MATERIALIZED (SELECT tree_id, node_id, count(*) AS n, {counts} FROM w{i} GROUP BY 1, 2)")
         if i > depth:
             break
         key = "tree_id || '/' || node_id"
         uf = u(key, "'feature' || fno")
         out.append(f"""f{i} AS MATERIALIZED (SELECT tree_id, node_id, fno FROM s{i}, (SELECT range AS fno FROM range(0, {dims}))
-  WHERE k0 > 0 AND k1 > 0
+  WHERE greatest({', '.join(f'k{k}' for k in ks)}) < n
   QUALIFY row_number() OVER (PARTITION BY tree_id, node_id ORDER BY {uf}, fno) <= {m})""")
-        out.append(f"""h{i} AS (SELECT tree_id, node_id, fno, f[fno + 1] AS v, count(*) FILTER (label = 0) AS k0,
-  count(*) FILTER (label = 1) AS k1 FROM w{i} JOIN f{i} USING (tree_id, node_id) GROUP BY 1, 2, 3, 4)""")
-        out.append(f"""r{i} AS (SELECT tree_id, node_id, fno, v, sum(k0) OVER o AS l0, sum(k1) OVER o AS l1,
-  sum(k0) OVER p - sum(k0) OVER o AS q0, sum(k1) OVER p - sum(k1) OVER o AS q1 FROM h{i}
+        out.append(f"""h{i} AS (SELECT tree_id, node_id, fno, f[fno + 1] AS v, {counts} FROM w{i} JOIN f{i} USING (tree_id, node_id) GROUP BY 1, 2, 3, 4)""")
+        sums = ", ".join(f"sum(k{k}) OVER o AS l{k}, sum(k{k}) OVER p - sum(k{k}) OVER o AS q{k}" for k in ks)
+        out.append(f"""r{i} AS (SELECT tree_id, node_id, fno, v, {sums} FROM h{i}
   WINDOW o AS (PARTITION BY tree_id, node_id, fno ORDER BY v), p AS (PARTITION BY tree_id, node_id, fno))""")
-        g = gain_sql(["l0", "l1"], ["q0", "q1"])
+        g = gain_sql([f"l{k}" for k in ks], [f"q{k}" for k in ks])
         out.append(f"""b{i} AS MATERIALIZED (SELECT tree_id, node_id, fno::INTEGER AS feature, v AS threshold FROM r{i}
-  WHERE q0 + q1 > 0
+  WHERE {' + '.join(f'q{k}' for k in ks)} > 0
   QUALIFY row_number() OVER (PARTITION BY tree_id, node_id ORDER BY round({g}, 9) DESC, fno, v DESC) = 1)""")
         out.append(f"""w{i + 1} AS MATERIALIZED (SELECT w.tree_id,
   node_id || CASE WHEN w.f[b.feature + 1] > b.threshold THEN '1' ELSE '0' END AS node_id, w.f, w.label
   FROM w{i} w JOIN b{i} b USING (tree_id, node_id))""")
+    most = f"greatest({', '.join(f'k{k}' for k in ks)})"
+    label = "CASE " + " ".join(f"WHEN k{i} = {most} THEN {c!r}" for i, c in enumerate(classes)) + " END"
     parts = []
     for i in range(1, depth + 2):
         split = f"LEFT JOIN b{i} USING (tree_id, node_id)" if i <= depth else ""
         cols = "feature, threshold" if i <= depth else "NULL::INTEGER AS feature, NULL::DOUBLE AS threshold"
-        parts.append(f"""SELECT tree_id, node_id, {cols}, n, CASE WHEN k1 > k0 THEN 1 ELSE 0 END AS prediction,
-  greatest(k0, k1) AS n_prediction FROM s{i} {split}""")
+        parts.append(f"SELECT tree_id, node_id, {cols}, n, {label} AS prediction, {most} AS n_prediction FROM s{i} {split}")
     out.append("nodes AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")")
     return ",\n".join(out)
 
 
+def binned(rows: str, keep: str, max_bins: int, dims: int = 4) -> str:
+    """CTEs ``edges`` (quantiles of docs.f) and ``inbins``: ``rows`` with f replaced by the numbers of edges below."""
+    return f"""vals AS (SELECT fno, f[fno + 1] AS v, count(*) AS c FROM docs, (SELECT range AS fno FROM range(0, {dims})) GROUP BY 1, 2),
+upto AS (SELECT fno, v, c, sum(c) OVER (PARTITION BY fno ORDER BY v)::BIGINT AS r, sum(c) OVER (PARTITION BY fno)::BIGINT AS n,
+  count(*) OVER (PARTITION BY fno) AS k, max(v) OVER (PARTITION BY fno) AS top FROM vals),
+edges AS MATERIALIZED (SELECT fno, row_number() OVER (PARTITION BY fno ORDER BY v) - 1 AS bin, v AS edge FROM upto
+  WHERE v < top AND ((r * {max_bins}) // n > ((r - c) * {max_bins}) // n OR k <= {max_bins})),
+inbins AS MATERIALIZED (SELECT {keep}, [{', '.join(
+    f"len(list_filter((SELECT list(edge) FROM edges WHERE fno = {j}), lambda e: e < f[{j + 1}]))" for j in range(dims))}] AS f FROM {rows})"""
+
+
+EDGE_NODES = """edged AS MATERIALIZED (SELECT tree_id, node_id, feature, edge AS threshold, n, prediction, n_prediction
+  FROM nodes LEFT JOIN edges ON fno = feature AND bin = nodes.threshold)"""
+
+
 def route(rows: str, depth: int) -> str:
     """CTE ``leafs``: rows (row_id, tree_id, f, ...) with their final node."""
     out, prev = [f"g0 AS (SELECT *, '1' AS node_id FROM {rows})"], "g0"
@@ -146,6 +162,13 @@ ALL_TREES = "(SELECT row_id, f, label, tree_id FROM docs, (SELECT range::INTEGER
 EVERY_DOC = ALL_TREES.replace("FROM docs,", """FROM (SELECT d.doc_id AS row_id, [n_chars::DOUBLE,
   len(list_filter(string_split(text, ' '), lambda w: w <> ''))::DOUBLE, (length(text) - length(replace(text, '.', '')))::DOUBLE,
   coalesce(toxic, 0)::DOUBLE] AS f, quality AS label FROM documents d LEFT JOIN labels l USING (doc_id)),""")
+BINNED_FOREST = f"""{DOC_FEATURES},\n{DISTINCT_DOCS},\n{bags(3, 0.7)},\n{binned('bags', 'row_id, label, tree_id, in_bag', 8)},
+{tree_levels('inbins WHERE in_bag', 3, 2)},\n{EDGE_NODES}"""
+BINNED_TREE = f"""{DOC_FEATURES},\n{binned('docs', 'row_id, label, 1 AS tree_id', 32)},\n{tree_levels('inbins', 4, 4)},\n{EDGE_NODES}"""
+LINEITEM = f"""docs AS MATERIALIZED (SELECT ({LI_ID} * 100000 + l_partkey) * 10000 + l_suppkey AS row_id, [l_quantity, l_extendedprice, l_discount, l_tax]::DOUBLE[] AS f,
+  l_returnflag AS label FROM lineitem),\n{DISTINCT_DOCS},\n{bags(3, 0.66)}"""
+FLAGS = ("A", "N", "R")
+OOB_BY_TREE = f"SELECT tree_id, count(*) AS n, {rnd('avg(CASE WHEN prediction <> label THEN 1.0 ELSE 0.0 END)')} AS error FROM leafs GROUP BY 1"
 VOTES = """votes AS (SELECT row_id, prediction AS label, count(*) / 3.0 AS share FROM leafs GROUP BY 1, 2),
 pred AS (SELECT row_id, label AS prediction, share FROM votes
   QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY share DESC, label) = 1)"""
@@ -175,12 +198,19 @@ canopies AS (SELECT id AS canopy_id, id AS doc_id FROM centers
   UNION ALL SELECT e.a, e.b FROM both_ways e JOIN centers c ON c.id = e.a)"""
 
 
-def dot_hac(order: str, t: int) -> str:
-    return f"""WITH RECURSIVE {BOW},
+DOT_EDGES = f"""{BOW},
 e AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b, sum(a.cnt * b.cnt)::DOUBLE AS s FROM bow a JOIN bow b
   ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2),
+ids AS (SELECT DISTINCT doc_id FROM bow)"""
+ORDER_EDGES = """e AS MATERIALIZED (SELECT l_suppkey AS a, l_partkey + 10000000000 AS b, sum(l_quantity)::DOUBLE AS s FROM lineitem GROUP BY 1, 2),
+ids AS (SELECT a AS doc_id FROM e UNION SELECT b FROM e)"""
+
+
+def merges(edges: str, order: str, t: int) -> str:
+    """CTE ``st``: the cluster of every document after each of up to t merges, best pair first."""
+    return f"""WITH RECURSIVE {edges},
 st(step, doc, cl, o, n, s) AS (
-  SELECT 0::BIGINT, doc_id, doc_id, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM (SELECT DISTINCT doc_id FROM bow)
+  SELECT 0::BIGINT, doc_id, doc_id, NULL::BIGINT, NULL::BIGINT, NULL::DOUBLE FROM ids
   UNION ALL
   SELECT st.step + 1, st.doc, CASE WHEN st.cl = m.o THEN m.n ELSE st.cl END, m.o, m.n, m.s
   FROM st, (SELECT least(x.cl, y.cl) AS o, greatest(x.cl, y.cl) AS n, e.s FROM e JOIN st x ON x.doc = e.a
@@ -188,6 +218,25 @@ st(step, doc, cl, o, n, s) AS (
   WHERE st.step < {t})"""
 
 
+def forest_first(edges: str) -> str:
+    """``edges`` with ``e`` cut down to its maximum spanning forest, which Prim's algorithm grows document by document."""
+    return edges.replace("e AS MATERIALIZED", "every AS MATERIALIZED", 1) + """,
+two_way AS MATERIALIZED (SELECT a AS x, b AS y, s, a, b FROM every UNION ALL SELECT b, a, s, a, b FROM every),
+prim(k, doc, inside, s, a, b) AS (
+  SELECT 0, doc_id, false, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT FROM ids
+  UNION ALL
+  SELECT q.k + 1, q.doc, q.inside OR q.doc = p.doc,
+    CASE WHEN f THEN t.s ELSE q.s END, CASE WHEN f THEN t.a ELSE q.a END, CASE WHEN f THEN t.b ELSE q.b END
+  FROM (SELECT q.*, p.doc AS p_doc FROM prim q, (SELECT doc FROM prim WHERE NOT inside ORDER BY s DESC NULLS LAST, a, b, doc LIMIT 1) p) q
+  LEFT JOIN two_way t ON t.x = q.p_doc AND t.y = q.doc,
+  LATERAL (SELECT q.p_doc AS doc, NOT q.inside AND t.s IS NOT NULL AND (q.s IS NULL OR t.s > q.s OR (t.s = q.s AND (t.a, t.b) < (q.a, q.b))) AS f) p),
+e AS MATERIALIZED (SELECT q.a, q.b, q.s FROM prim q JOIN prim n ON n.k = q.k + 1 AND n.doc = q.doc WHERE NOT q.inside AND n.inside AND q.s IS NOT NULL)"""
+
+
+def dot_hac(order: str, t: int) -> str:
+    return merges(DOT_EDGES, order, t)
+
+
 HISTORY = "SELECT DISTINCT step, o AS old_id, n AS new_id, s AS sim FROM st WHERE step > 0"
 
 
@@ -345,9 +394,21 @@ SQL: dict[str, str] = {
     "doc_dot_similarity": f"""WITH {BOW} SELECT a.doc_id AS a, b.doc_id AS b, sum(a.cnt * b.cnt)::DOUBLE AS sim FROM bow a JOIN bow b
   ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2""",
     "doc_jaccard_pairs": f"WITH {BOW}, {SETS} SELECT a, b, {rnd('sim')} AS sim FROM jac WHERE sim >= 0.3",
+    "doc_near_copies": f"WITH {BOW}, {SETS} SELECT a, b, {rnd('sim')} AS sim FROM jac WHERE sim >= 0.8",
+    "doc_dot_large": f"""WITH {BOW} SELECT a.doc_id AS a, b.doc_id AS b, sum(a.cnt * b.cnt)::DOUBLE AS sim FROM bow a JOIN bow b
+  ON a.term = b.term AND a.doc_id < b.doc_id GROUP BY 1, 2 HAVING sum(a.cnt * b.cnt) >= 2000""",
+    "hash_independent_set": f"""WITH RECURSIVE ranked AS MATERIALIZED (SELECT o_orderkey AS v, row_number() OVER (ORDER BY {u('o_orderkey', repr('mis'))}, o_orderkey) AS id,
+    lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS w FROM orders),
+  verts AS (SELECT id FROM ranked), links AS (SELECT x.id AS a, y.id AS b FROM ranked x JOIN ranked y ON y.v = x.w),
+  both_ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  {MIS} SELECT v FROM ranked WHERE id IN (SELECT id FROM centers)""",
     "first_independent_set": """SELECT o_orderkey AS v FROM orders
   QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) % 2 = 1""",
     "hac_single_history": f"{dot_hac('DESC', 8)} {HISTORY}",
+    "hac_full_history": f"{merges(forest_first(DOT_EDGES), 'DESC', 1 << 40)} {HISTORY}",
+    "hac_order_history": f"{merges(ORDER_EDGES, 'DESC', 1 << 40)} {HISTORY}",
+    "hac_order_edges": f"{merges(ORDER_EDGES, 'DESC', 1 << 40)} SELECT count(*) AS n_merges, sum(sim) AS total FROM ({HISTORY})",
+    "hac_memberships": f"{dot_hac('DESC', 8)} SELECT step, cl AS cluster_id, doc AS doc_id FROM st WHERE step IN (0, 3, 8)",
     "hac_min_history": f"{dot_hac('ASC', 8)} {HISTORY}",
     "hac_history_line": f"""{dot_hac('DESC', 8)} SELECT string_agg('[' || old_id || '; ' || new_id || ']', '' ORDER BY step) AS value
   FROM ({HISTORY})""",
@@ -407,6 +468,12 @@ SQL: dict[str, str] = {
     "tree_depth_2": f"""WITH {DOC_FEATURES}, {tree_levels('(SELECT 1 AS tree_id, f, label FROM docs)', 2, 4)}
   SELECT node_id, feature, threshold, n, prediction, n_prediction FROM nodes""",
     "forest_nodes": f"WITH {FOREST} SELECT tree_id, node_id, feature, threshold, n, prediction, n_prediction FROM nodes",
+    "forest_scores": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, prediction, {rnd('share')} AS share FROM pred",
+    "forest_binned_nodes": f"WITH {BINNED_FOREST} SELECT tree_id, node_id, feature, threshold, n, prediction, n_prediction FROM edged",
+    "tree_binned": f"WITH {BINNED_TREE} SELECT node_id, feature, threshold, n, prediction, n_prediction FROM edged",
+    "forest_lineitem": f"WITH {LINEITEM}, {tree_levels('bags WHERE in_bag', 3, 2, 4, FLAGS)}, {route('(SELECT * FROM bags WHERE NOT in_bag)', 3)} {OOB_BY_TREE}",
+    "forest_lineitem_binned": f"WITH {LINEITEM}, {binned('bags', 'row_id, label, tree_id, in_bag, f AS raw', 64)}, "
+    f"{tree_levels('inbins WHERE in_bag', 3, 2, 4, FLAGS)}, {route('(SELECT * FROM inbins WHERE NOT in_bag)', 3)} {OOB_BY_TREE}",
     "forest_votes": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, label, {rnd('share')} AS share FROM votes",
     "forest_predict": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, prediction, {rnd('share')} AS share FROM pred",
     "oob_error": f"""WITH {FOREST}, {route('(SELECT row_id, f, label, tree_id FROM bags WHERE NOT in_bag)', 2)}

@@ -140,6 +140,52 @@ def test_hac_documents_with_copies(spark, linkage):
     assert got == want
 
 
+def test_dot_similarities_from_a_least_one(spark):
+    docs = rand_docs(11, 60, 40, 6)
+    for least in (3.0, 12.0):
+        got = sorted(tuple(r) for r in pairs.dot_similarities(bow_frame(spark, docs), 7, least).collect())
+        assert got == [e for e in dots(docs) if e[2] >= least]
+
+
+def skewed_docs(seed, n):
+    """Many short documents and a few long ones, as texts are; two kinds of words that never meet; one word of their own for some."""
+    r = random.Random(seed)
+    docs = {}
+    for i in range(n):
+        kind = i % 2
+        size = r.choice([2, 3, 4, 5, 60]) if i % 10 == 0 else r.choice([1, 2, 3])
+        docs[i] = Counter(f"{kind}:{min(int(r.expovariate(0.3)), 12)}" for _ in range(size))
+        if i % 17 == 0:
+            docs[i][f"own{i}"] += 1
+    return docs
+
+
+def products(block_pairs, sizes):
+    return sum(sizes[r["x"]] * sizes[r["y"]] for r in block_pairs.collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_forest_by_bounds(spark, seed):
+    """The hub's levels spare products, and the forest stays the same, ties and unconnected documents included."""
+    docs = skewed_docs(seed, 400)
+    want = kruskal(dots(docs), True)
+    res = hac.hac_documents(bow_frame(spark, docs), 10 ** 9, "single", block_docs=16)
+    assert sorted(tuple(r) for r in res.history.select("step", "old_id", "new_id", "sim").collect()) == want
+
+
+def test_bounds_skip_most_products(spark):
+    r = random.Random(5)
+    docs = {i: Counter({f"t{r.randrange(30)}": r.randint(50, 90) for _ in range(20)}) for i in range(30)}
+    docs |= {i: Counter(f"t{r.randrange(30)}" for _ in range(4)) for i in range(30, 1200)}
+    packed = pairs._by_norm(pairs.pack_documents(bow_frame(spark, docs)), 32)
+    none = lambda sums, ids_l, ids_r, *rest: pairs.local_forest(*pairs._signed(pairs._ordered_pairs(sums, ids_l, ids_r), -1.0))
+    _, levels = pairs.hub_levels(packed, none)
+    placed, rest = pairs.rest_pairs(packed, levels, 32)
+    sizes = Counter(r["blk"] for r in placed.collect())
+    assert sum(sizes.values()) == 1200
+    assert products(rest, sizes) + 32 * 1200 < 0.3 * 1200 ** 2
+
+
 def jac(x, y):
     return len(x & y) / len(x | y)
 
@@ -162,6 +208,38 @@ def test_jaccard_pairs(spark, monkeypatch, products, t):
         assert sorted((r["a"], r["b"]) for r in got) == [p for p in want if p[0] in ids and p[1] in ids]
 
 
+@pytest.mark.parametrize("least, block", [(0.3, 7), (0.7, 5), (1.0, 9)])
+def test_one_term_in_every_document(spark, monkeypatch, least, block):
+    """A term that all documents share, sub-lists of two documents, and both ways of finding pairs."""
+    docs = {d: c + Counter({10_000: 1}) for d, c in rand_docs(8, 70, 25, 9).items()}
+    docs |= {200 + i: Counter({10_000: 1, 500 + i // 2: 1}) for i in range(20)}
+    sets = {d: set(c) for d, c in docs.items()}
+    want = {(a, b): jac(sets[a], sets[b]) for a, b in itertools.combinations(sorted(sets), 2) if jac(sets[a], sets[b]) >= least}
+    reps, _ = pairs.distinct_sets(pairs.word_sets(bow_frame(spark, docs)))
+    prefix = pairs.prefix_table(reps, least)
+    ids = {r["doc_id"] for r in reps.collect()}
+    own = {p: s for p, s in want.items() if set(p) <= ids}
+    monkeypatch.setattr(pairs, "LIST", 2)
+    cand = pairs.candidate_pairs(prefix, prefix, least)
+    assert cand.count() == cand.distinct().count()
+    got = pairs.verify_pairs(cand.where("a < b"), reps, reps, least, False).collect()
+    assert {(r["a"], r["b"]): r["sim"] for r in got} == pytest.approx(own)
+    ones = reps.withColumn("cnts", pairs.F.transform("terms", lambda x: pairs.F.lit(1.0)))
+    blocks = pairs.in_blocks(ones, [pairs.F.size("terms").desc()], block)
+    near, n = pairs._near_sizes(blocks, None, least)
+    got = pairs.block_products(blocks, None, near, pairs._jaccard_emit(least, False, True)).collect()
+    assert {(r["a"], r["b"]): r["sim"] for r in got} == pytest.approx(own)
+    assert n < len(ids) ** 2
+
+
+def test_jaccard_canopies_at_the_ends(spark):
+    """Nothing is more similar than 1, equal sets neither; above 0 lies every shared word."""
+    docs = {1: Counter("ab"), 2: Counter("ab"), 3: Counter("bc"), 4: Counter("d"), 5: Counter("d")}
+    rows = lambda t: sorted((r["canopy_id"], r["doc_id"]) for r in canopy.canopy_jaccard(bow_frame(spark, docs), t, 1.0).collect())
+    assert rows(1.0) == [(i, i) for i in range(1, 6)]
+    assert rows(0.0) == [(1, 1), (1, 2), (1, 3), (4, 4), (4, 5)]
+
+
 def greedy(ids, near):
     kept = []
     for i in sorted(ids):
@@ -178,6 +256,43 @@ def test_first_mis(spark):
     assert sorted(r["v"] for r in got.collect()) == greedy(range(60), near)
 
 
+def test_first_mis_by_hash(spark):
+    """An ordered chain takes logarithmic rounds; the set is the greedy one in the order of the numbers."""
+    chain = spark.range(100_000).withColumnRenamed("id", "v")
+    links = spark.range(99_999).selectExpr("id AS a", "id + 1 AS b")
+    rounds = []
+    kept = {r["v"] for r in graph.first_mis(chain, links, "hash", 3, rounds=rounds).collect()}
+    assert rounds[0] < 40
+    assert all(v + 1 not in kept for v in kept) and all(v in kept or v - 1 in kept or v + 1 in kept for v in range(100_000))
+    edges = {(a, b) for a, b, _ in rand_edges(9, 60, 120, [1])}
+    drawn = {r["v"]: r["u"] for r in spark.range(60).select(graph.F.col("id").alias("v"), graph.uniform("id", 3, "mis").alias("u")).collect()}
+    order = sorted(drawn, key=lambda v: (drawn[v], v))
+    place = {v: i for i, v in enumerate(order)}
+    near = lambda x, y: (order[x], order[y]) in edges or (order[y], order[x]) in edges
+    got = graph.first_mis(spark.range(60).withColumnRenamed("id", "v"), spark.createDataFrame(sorted(edges), "a long, b long"), "hash", 3)
+    assert sorted(place[r["v"]] for r in got.collect()) == greedy(range(60), near)
+    with pytest.raises(ValueError):
+        graph.first_mis(chain, links, "other")
+
+
+def test_memberships_and_levels_of_a_long_chain(spark):
+    """A chain of merges renames a document once a merge; any step is found by doubling."""
+    n = 70
+    edges = spark.createDataFrame([(i, i + 1, float(1000 - i)) for i in range(n)], EDGE)
+    nodes = spark.range(n + 1).withColumnRenamed("id", "doc_id")
+    res = hac.hac(edges, nodes, 10 ** 9)
+    assert len(hac.lifted(res.history)) == 7
+    steps = spark.createDataFrame([(0,), (1,), (13,), (69,), (70,), (500,)], "step long")
+    got = {}
+    for r in res.memberships(steps).collect():
+        got.setdefault(r["step"], {})[r["doc_id"]] = r["cluster_id"]
+    for t in got:
+        assert got[t] == {r["doc_id"]: r["cluster_id"] for r in res.membership(t).collect()}
+    assert set(got) == {0, 1, 13, 69, 70, 500}
+    levels = sorted(tuple(r) for r in hac.level_changes(res.history).collect())
+    assert levels == sorted((s, s, d) for s in range(1, n + 1) for d in range(s))
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9)], "a long, b long")
     got = graph.components(edges, spark.range(1, 8).withColumnRenamed("id", "v"))
