@@ -21,6 +21,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where a column of ``df`` already has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def remainder(key: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; 0 for a null id."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus, F.lit(0))
@@ -55,6 +67,36 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 _WEIGHTS = np.random.default_rng(5).integers(1, 1 << 63, 64, np.uint64) | np.uint64(1)
 
 
+def run_hashes(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights: np.ndarray = _WEIGHTS) -> np.ndarray:
+    """64-bit hashes of runs (words) of a flat array, none of them empty."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    place = ranges(np.zeros(len(starts), np.int64), sizes)
+    own = codes[place + np.repeat(starts, sizes)]
+    with np.errstate(over="ignore"):
+        mixed = (own.astype(np.uint64) + np.uint64(1)) * weights[place & 63]
+        if len(place) and place.max() > 63:
+            mixed *= ((place >> 6) + 1).astype(np.uint64)
+        mixed ^= mixed >> np.uint64(29)
+        return np.add.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), np.cumsum(sizes) - sizes) + sizes.astype(np.uint64)
+
+
+def kinds(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each different value, in the order of values, and the number of every value's kind."""
+    order = np.argsort(values)
+    new = np.r_[True, np.diff(values[order]) != 0]
+    of = np.empty(len(values), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return order[new], of
+
+
+def equal_runs(codes: np.ndarray, starts: np.ndarray, others: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which runs of ``codes`` hold the same as those of ``others``, run by run, of the same sizes."""
+    if not len(starts):
+        return np.zeros(0, bool)
+    return np.logical_and.reduceat(codes[ranges(starts, sizes)] == others[ranges(at, sizes)], np.cumsum(sizes) - sizes)
+
+
 def distinct_runs(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights: np.ndarray = _WEIGHTS) -> tuple[np.ndarray, np.ndarray]:
     """One of each kind among runs (words) of a flat array, and the kind of every run.
 
@@ -62,17 +104,9 @@ def distinct_runs(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weig
     """
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    place = ranges(np.zeros(len(starts), np.int64), sizes)
-    at = place + np.repeat(starts, sizes)
-    own = codes[at]
-    first = np.cumsum(sizes) - sizes
-    with np.errstate(over="ignore"):
-        mixed = (own.astype(np.uint64) + np.uint64(1)) * weights[place % 64] * (place // 64 + 1).astype(np.uint64)
-        mixed ^= mixed >> np.uint64(29)
-        key = np.add.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), first) + sizes.astype(np.uint64)
-    _, which, of = np.unique(key, return_index=True, return_inverse=True)
+    which, of = kinds(run_hashes(codes, starts, sizes, weights))
     other = which[of]
-    if (sizes[other] == sizes).all() and (own == codes[ranges(starts[other], sizes)]).all():
+    if (sizes[other] == sizes).all() and equal_runs(codes, starts, codes, starts[other], sizes).all():
         return which, of
     return np.arange(len(starts)), np.arange(len(starts))
 

@@ -170,35 +170,56 @@ def _find(shared):
     return run
 
 
+def _indexes(benchmark: DataFrame) -> Iterator:
+    """Broadcast indexes of the items, in parts of bounded size."""
+    sc = benchmark.sparkSession.sparkContext
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    part, size = [], 0
+    for r in items.orderBy("item_id", "text").toLocalIterator():
+        text = r.text.encode()
+        if part and size + len(text) > PART_BYTES:
+            yield sc.broadcast(Index(part))
+            part, size = [], 0
+        part.append((r.item_id, text))
+        size += len(text)
+    if part:
+        yield sc.broadcast(Index(part))
+
+
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage: ``doc_id, item_id, doc_start, doc_end, item_start, edits``.
 
     Offsets count bytes of the normalised text (lower case, single spaces).  Items are read in parts of bounded size, each
     searched in all documents.  Items under eight bytes, null and empty texts match nothing; repeated rows repeat.
     """
-    sc = docs.sparkSession.sparkContext
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out, part, size = None, [], 0
+    out = None
+    for shared in _indexes(benchmark):
+        found = rows.mapInArrow(_find(shared), FOUND)
+        out = found if out is None else out.union(found)
+    return docs.sparkSession.createDataFrame([], FOUND) if out is None else out
 
-    def search(part: list[tuple[int, bytes]]) -> DataFrame:
-        return rows.mapInArrow(_find(sc.broadcast(Index(part))), FOUND)
 
-    for r in items.orderBy("item_id", "text").toLocalIterator():
-        text = r.text.encode()
-        if part and size + len(text) > PART_BYTES:
-            out = search(part) if out is None else out.union(search(part))
-            part, size = [], 0
-        part.append((r.item_id, text))
-        size += len(text)
-    return search(part) if out is None else out.union(search(part)) if part else out
+def _without(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Index = shared.value
+        for batch in batches:
+            for part in slices(batch):
+                found = index.search([normal(t) for t in raw(part.column("text"))])
+                yield part.filter(pa.array([not ps for ps in found], pa.bool_()))
+    return run
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no passage of the benchmark.  Rows without an id are judged by their text."""
-    key = F.coalesce(F.col("doc_id"), F.xxhash64("text"))
-    bad = passages(docs.withColumn("doc_id", key), benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, key == F.col("_bad"), "left_anti")
+    """The rows of ``docs``, all columns, that hold no passage of the benchmark.
+
+    Every row is judged by its own text, where it is: nothing is shuffled, and rows that share a doc_id, or have none, do not touch each
+    other.  Null and empty texts stay.  An empty benchmark keeps all rows.
+    """
+    out = docs
+    for shared in _indexes(benchmark):
+        out = out.mapInArrow(_without(shared), docs.schema)
+    return out
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

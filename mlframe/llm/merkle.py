@@ -144,20 +144,23 @@ def build(leaves: DataFrame) -> Manifest:
         .withColumn("start_pos", F.when(~alone, F.col("place") % FANOUT).when(has_top, F.col("rank") % FANOUT).cast("int")).drop("of", "rank")
     empty = spark.createDataFrame([], "tree long, level int, idx long, kids array<binary>, lo long, hi long, digest binary, up_tree long, up_level int, "
                                       "up_idx long, pos int, ends boolean")
-    return Manifest(durable(own), durable(nodes if nodes is not None else empty), root)
+    tree = Manifest(durable(own), durable(nodes if nodes is not None else empty), root)
+    for table in [ordered, ranked, *low, *top]:
+        discard(table)
+    return tree
 
 
 CLIMB = f"""
 WITH RECURSIVE climb(g, stretch, step, tree, level, idx, pos, folded, siblings, top) AS (
   SELECT g, g div {STRETCH}, 0, start_tree, 1, start_idx, start_pos, found, X'', CASE WHEN n = 1 THEN unhex(leaf) END FROM {{leaves}}
   UNION ALL
-  SELECT c.g, c.stretch, c.step + 1, r.up_tree, r.up_level, r.up_idx, r.pos,
+  SELECT /*+ MERGE(r) */ c.g, c.stretch, c.step + 1, r.up_tree, r.up_level, r.up_idx, r.pos,
          unhex(sha2(CAST(lower(concat(array_join(slice(r.kids, 1, c.pos), ''), hex(c.folded), array_join(slice(r.kids, c.pos + 2, {FANOUT}), ''))) AS BINARY), 256)),
          unhex(concat(array_join(slice(r.kids, 1, c.pos), ''), array_join(slice(r.kids, c.pos + 2, {FANOUT}), ''))),
          CASE WHEN r.ends AND r.tree <> {TOP} THEN r.digest END
   FROM climb c JOIN {{nodes}} r ON c.stretch = r.stretch AND c.tree = r.tree AND c.level = r.level AND c.idx = r.idx
 )
-SELECT g, step, folded, siblings, top FROM climb
+SELECT g, step, CASE WHEN tree IS NULL THEN folded END AS folded, siblings, top FROM climb
 """
 
 
@@ -165,7 +168,7 @@ def climb(manifest: Manifest, with_proof: bool = True) -> DataFrame:
     """One row per leaf of ``manifest.leaves``, which must carry ``found``, the leaf hash of the row as found (32 bytes):
     ``g, subroot, folded_root, proof_sha256`` and, if asked for, ``proof``, the siblings' digests in turn.
 
-    Each step of the recursive query joins all leaves with the node rows.  The rows of a node are dealt over stretches of leaves,
+    Each step of the recursive query joins all leaves with the node rows, by a shuffle at every size, as node rows have no bound.  The rows of a node are dealt over stretches of leaves,
     so the upper nodes, which all leaves meet, are no hot keys.  Every step returns only its own siblings; they are put
     in a row at the end.
     """
@@ -175,7 +178,7 @@ def climb(manifest: Manifest, with_proof: bool = True) -> DataFrame:
     parts = F.sort_array(F.collect_list(F.struct("step", "siblings")))
     proof = F.aggregate(parts, F.unhex(F.lit("")), lambda acc, p: F.concat(acc, p["siblings"]))
     steps = spark.sql(CLIMB, leaves=manifest.leaves, nodes=nodes)
-    out = steps.groupBy("g").agg(F.max(F.struct("step", "folded"))["folded"].alias("folded_root"), F.max("top").alias("subroot"), proof.alias("proof")) \
+    out = steps.groupBy("g").agg(F.max("folded").alias("folded_root"), F.max("top").alias("subroot"), proof.alias("proof")) \
         .withColumn("proof_sha256", F.sha2(F.lower(F.hex("proof")).cast("binary"), 256))
     limit = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(limit, None)

@@ -25,7 +25,7 @@ LONGEST, LEAST = 4, 30
 INSIDE = 80
 TOP = 2000
 # Bytes of text in a lot, and suffixes meant for a bucket.
-LOT_BYTES, BUCKET = 6_000_000, 2_000_000
+LOT_BYTES, BUCKET = 2_000_000, 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # What ends a piece, what parts words.

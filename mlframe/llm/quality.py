@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from mlframe.llm.common import raw, slices
+from mlframe.llm.common import free_names, raw, slices
 from mlframe.runtime import durable
 
 MIN_WORDS = 50
@@ -109,35 +109,38 @@ def judge(docs: DataFrame, host: str = "source", line_docs: int = LINE_DOCS, lin
         failed.alias("base_failed"), (~failed & (F.col("n_words") - n_removed >= KEPT_SHARE * F.col("n_words"))).alias("kept"))
 
 
-def _strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for t, cut in zip(raw(batch.column("text")), batch.column("_cut").to_pylist()):
-            if t and cut:
-                keys = {k & 0xFFFFFFFFFFFFFFFF for k in cut}
-                t = b"\n".join(x for x in t.split(b"\n") if not x.split() or xxhash.xxh64_intdigest(normal_line(x), 42) not in keys)
-            texts.append(t)
-        at = batch.schema.get_field_index("text")
-        yield batch.set_column(at, "text", pa.array(texts, pa.binary()).cast(pa.string()))
+def _strip(cut: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for t, lines in zip(raw(batch.column("text")), batch.column(cut).to_pylist()):
+                if t and lines:
+                    keys = {k & 0xFFFFFFFFFFFFFFFF for k in lines}
+                    t = b"\n".join(x for x in t.split(b"\n") if not x.split() or xxhash.xxh64_intdigest(normal_line(x), 42) not in keys)
+                texts.append(t)
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", pa.array(texts, pa.binary()).cast(pa.string()))
+    return run
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     """The rows of ``docs``, all columns, that pass, their texts without the lines above the limits (the rest in order).
 
-    Rows are found again by id, host and text, so rows without an id are judged too.  ``n_chars``, if there is one, follows a
-    text that lost a line.
+    Rows are found again by id, host and text, so rows without an id are judged too, and rows that share an id each by their own text.
+    ``n_chars``, if there is one, follows a text that lost a line.  An empty table gives no rows; columns of any name pass through.
     """
+    rid, of, text, kept, cut = free_names(docs, "_judged_id", "_judged_host", "_judged_text", "_kept", "_cut")
     touched = judge(docs, host).where(~F.col("kept") | F.col("cut").isNotNull()) \
-        .groupBy(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("content").alias("_text")) \
-        .agg(F.first("kept").alias("_kept"), F.first("cut").alias("_cut"))
+        .groupBy(F.col("doc_id").alias(rid), F.col("host").alias(of), F.col("content").alias(text)) \
+        .agg(F.first("kept").alias(kept), F.first("cut").alias(cut))
     content = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col(host).eqNullSafe(F.col("_host")) & (content == F.col("_text"))
-    good = docs.join(touched, same, "left").where(F.coalesce("_kept", F.lit(True))).select(*docs.columns, "_cut")
-    out = good.mapInArrow(_strip, good.schema)
+    same = F.col("doc_id").eqNullSafe(F.col(rid)) & F.col(host).eqNullSafe(F.col(of)) & (content == F.col(text))
+    good = docs.join(touched, same, "left").where(F.coalesce(kept, F.lit(True))).select(*docs.columns, cut)
+    out = good.mapInArrow(_strip(cut), good.schema)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_cut").isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return out.drop("_cut")
+        out = out.withColumn("n_chars", F.when(F.col(cut).isNotNull(), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return out.drop(cut)
 
 
 def query(docs: DataFrame) -> DataFrame:

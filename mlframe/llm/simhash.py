@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mlframe.llm.common import components, group_starts, raw, slices, whole_groups
+from mlframe.llm.common import components, free_names, group_starts, raw, slices, whole_groups
 from mlframe.runtime import durable
 
 SEED = 42
@@ -17,6 +17,8 @@ SEGMENTS = 4
 BASES = 8
 # A bucket with more fingerprints than this is compared in pairs of chunks, each a group of its own.
 CHUNK = 2_048
+# The rows of one fingerprint are dealt into so many parts where they meet its group.
+SALTS = 16
 
 
 def _references() -> tuple[list[int], list[int]]:
@@ -74,15 +76,20 @@ def _fingerprint_batches(shingle: int):
                 hashes = [_words_of(t, shingle) for t in raw(part.column("text"))]
                 sizes = np.array([len(h) for h in hashes], np.int64)
                 flat = np.fromiter((x for h in hashes for x in h), np.uint64, int(sizes.sum()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_majority(flat, sizes).view(np.int64))],
-                                                 ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_majority(flat, sizes).view(np.int64)), part.column("content")],
+                                                 ["doc_id", "fp", "content"])
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp``: the 64-bit SimHash of each text; 0 for a text without words or a null text."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(_fingerprint_batches(shingle), "doc_id long, fp long")
+    """``doc_id, fp, content``: the 64-bit SimHash of each text, 0 for a text without words or a null text; and ``_content``."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _content(F.col("text")).alias("content")) \
+        .mapInArrow(_fingerprint_batches(shingle), "doc_id long, fp long, content string")
+
+
+def _content(text: Column) -> Column:
+    """128 bits that stand for a text; a null text is one of its own."""
+    return F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit(""))
 
 
 def distance_table(fp: Column) -> list[list[Column]]:
@@ -169,6 +176,16 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
         .mapInArrow(_survivors(max_bits), "a long, b long").distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, fp, content`` of every row (content: 128 bits of the text), and ``fp, root, component_id`` of every fingerprint."""
+    fps = durable(fingerprints(docs, shingle))
+    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(links(distinct, max_bits))
+    linked = durable(distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    names = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    return fps, linked.join(names, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """``doc_id, fp, component_id``: one row per row of ``docs``.
 
@@ -176,14 +193,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> Dat
     included.  Empty and null texts have fingerprint 0 and link like any other.  Repeated rows get equal results.  A null
     doc_id is never a component_id unless no document of the group has an id.  Other columns of ``docs`` are not looked at.
     """
-    fps = durable(fingerprints(docs, shingle))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(distinct, max_bits))
-    linked = durable(distinct.join(roots.withColumnRenamed("node", "fp"), "fp"))
-    names = linked.groupBy("root").agg(F.min("least").alias("component"))
-    named = distinct.join(linked.join(names, "root").select("fp", "component"), "fp", "left") \
-        .select("fp", F.coalesce("component", "least").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    fps, named = _grouped(docs, shingle, max_bits)
+    return _salted(fps, named).select("doc_id", "fp", "component_id")
+
+
+def _salted(fps: DataFrame, named: DataFrame) -> DataFrame:
+    """Rows with the name of their fingerprint's group.
+
+    A fingerprint may be that of a third of all rows (empty texts, copies): rows are dealt by a salt, and the one row of a fingerprint is
+    repeated for each salt.
+    """
+    many = fps.withColumn("salt", F.pmod(F.xxhash64("doc_id", "content"), F.lit(SALTS)).cast("int"))
+    one = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return many.join(one, ["fp", "salt"]).drop("salt")
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -192,13 +214,22 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that represent their group: all columns, one row for each component.
+    """The documents that represent their group: all columns, exactly one row for each component.
 
-    Rows that repeat the representative's doc_id are one document; rows without an id stay only where no document of their
-    group has one.
+    That is the row with the smallest doc_id (null only where no document of the group has one); of rows that share it, the one whose text
+    has the smallest hash, and of equal ones the one whose columns have.  Rows with one doc_id and texts of different groups
+    represent each their own group.  An empty table gives no rows; columns of any name pass through.
     """
-    groups = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    again = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null")
-    kept = docs.join(groups.distinct().withColumnRenamed("doc_id", "_keep"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept if again.isEmpty() else kept.where("doc_id is null").unionByName(
-        kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    fps, named = _grouped(docs, 3, 2)
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")
+    chosen = _salted(fps.distinct(), named).groupBy("root").agg(F.min(key).alias("k")).select("k.doc_id", "k.content")
+    rid, text, row = free_names(docs, "_chosen_id", "_chosen_text", "_row")
+    chosen = durable(chosen.toDF(rid, text))
+    kept = docs.join(chosen, F.col("doc_id").cast("long").eqNullSafe(F.col(rid)) & (_content(F.col("text")) == F.col(text)), "left_semi")
+    # equal rows of one document: combined before they are shuffled
+    again = docs.groupBy(F.col("doc_id").alias(rid), _content(F.col("text")).alias(text)).count().where("count > 1")
+    if again.isEmpty():
+        return kept
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    return kept.groupBy(F.col("doc_id").alias(rid), _content(F.col("text")).alias(text)) \
+        .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias(row)).select(f"{row}.*")

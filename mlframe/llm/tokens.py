@@ -14,14 +14,16 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from mlframe.llm.common import distinct_runs, ranges, raw, slices
+from mlframe.llm.common import distinct_runs, equal_runs, kinds, ranges, raw, run_hashes, slices
 from mlframe.runtime import scratch_dir
 
 END_ID = 1
 # A shard is closed after so many ids or documents.
 SHARD_IDS, SHARD_DOCS = 2_000_000, 500_000
-# Texts are cut into words in lots of so many bytes; nothing of a lot is kept for the next.
+# Texts are cut into words in lots of so many bytes.
 LOT_BYTES = 3_000_000
+# Words, and bytes of words and ids, that a Python worker remembers.
+CACHE, CACHE_BYTES = 500_000, 20_000_000
 # Boundaries read at once.
 PLACES = 4096
 # New words are encoded so many at a time: the library keeps some hundred bytes a token while it works, and the worker never gives them back.
@@ -31,6 +33,8 @@ MAGIC = b"EFTK"
 SAMPLE = 512
 # Pre-tokens of the vocabulary; fixed pattern of the tokenizer file.
 WHITE = np.zeros(256, bool)
+MARK = np.zeros(256, bool)
+MARK[list(b",.;:!?")] = True
 WHITE[list(b" \t\n\v\f\r")] = True
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Words of these characters are the same after normalisation but for case, and hold no special token.
@@ -113,8 +117,54 @@ class EliasFano:
         return cls(n, low_bits, low, high, np.frombuffer(view, "<u8", c, at + a + b)), at + a + b + 8 * c
 
 
+class Words:
+    """Ids of words seen before, in flat arrays: sorted 64-bit hashes, the words themselves, which are compared, and their ids."""
+
+    def __init__(self, width: int):
+        self.letters, self.ids = np.zeros(0, np.uint8), np.zeros(0, f"<u{width}")
+        self.table = np.zeros(0, [("hash", "u8"), ("at", "i8"), ("size", "i8"), ("ids", "i8"), ("n", "i8"), ("used", "i8")])
+        self.lot = 0
+
+    def find(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The rows of the given words, -1 for new ones."""
+        self.lot += 1
+        row = np.full(len(starts), -1)
+        if not len(self.table):
+            return row
+        at = np.minimum(np.searchsorted(self.table["hash"], hashes), len(self.table) - 1)
+        like = np.flatnonzero((self.table["hash"][at] == hashes) & (self.table["size"][at] == sizes))
+        same = like[equal_runs(data, starts[like], self.letters, self.table["at"][at[like]], sizes[like])]
+        row[same] = at[same]
+        self.table["used"][at[same]] = self.lot
+        return row
+
+    def add(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Remember new words; of two with one hash only one is kept.  When there are too many, those unused for longest go."""
+        if not len(hashes):
+            return
+        first = kinds(hashes)[0]
+        at = np.searchsorted(self.table["hash"], hashes[first])
+        first = first[np.r_[self.table["hash"], hashes[first[-1:]] + np.uint64(1)][at] != hashes[first]]
+        new = np.zeros(len(first), self.table.dtype)
+        new["hash"], new["size"], new["n"], new["used"] = hashes[first], sizes[first], counts[first], self.lot
+        new["at"] = len(self.letters) + np.cumsum(sizes[first]) - sizes[first]
+        new["ids"] = len(self.ids) + np.cumsum(counts[first]) - counts[first]
+        self.letters = np.r_[self.letters, data[ranges(starts[first], sizes[first])]]
+        self.ids = np.r_[self.ids, ids[ranges((np.cumsum(counts) - counts)[first], counts[first])]]
+        table = np.r_[self.table, new]
+        if len(table) > CACHE or len(self.letters) + self.ids.nbytes > CACHE_BYTES:
+            table = table[np.argsort(-table["used"], kind="stable")][:CACHE // 2]
+            fits = np.cumsum(table["size"] + table["n"] * self.ids.itemsize) <= CACHE_BYTES // 2
+            table = table[fits]
+            self.letters = self.letters[ranges(table["at"], table["size"])]
+            self.ids = self.ids[ranges(table["ids"], table["n"])]
+            table["at"] = np.cumsum(table["size"]) - table["size"]
+            table["ids"] = np.cumsum(table["n"]) - table["n"]
+        self.table = table[np.argsort(table["hash"])]
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library.  No token crosses white space, so the distinct words of a lot are encoded once."""
+    """Ids of texts by the tokenizers library.  No token crosses white space, so the distinct words of a lot are looked up, or encoded, once."""
 
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
@@ -122,6 +172,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         vocab = self.tokenizer.get_vocab()
         self.width = 2 if max(vocab.values()) < 1 << 16 else 4
+        self.words = Words(self.width)
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         # the same vocabulary for single lower-case pre-tokens: nothing is left to normalise or to cut but spaces
@@ -134,6 +185,48 @@ class Encoder:
     def _ids(tokenizer, text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
+    def _simple(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The words that are letters a to z and à to ÿ, or these and one mark behind: which they are, their ids in a row, and their numbers.
+
+        All are handed over in one text: nothing is left to normalise but upper case à to ÿ, and to cut but the mark.
+        """
+        first = np.cumsum(sizes) - sizes
+        place = ranges(starts, sizes)
+        own = data[place]
+        before = np.r_[np.uint8(0), own[:-1]]
+        before[first] = 0
+        second = (before == 0xC3) & (own >= 0x80) & (own <= 0xBF) & (own != 0x97) & (own != 0xB7)
+        letter = ((own >= 97) & (own <= 122)) | second | ((own == 0xC3) & np.r_[second[1:], False])
+        others = np.add.reduceat(~letter, first, dtype=np.int64)
+        marked = (others == 1) & (sizes > 1) & MARK[own[first + sizes - 1]]
+        which = np.flatnonzero((others == 0) | marked)
+        if not len(which):
+            return which, np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        own = np.where(second & (own <= 0x9E), own + 0x20, own).astype(np.uint8)
+        n, extra = sizes[which], marked[which].astype(np.int64)
+        room = n + 1 + extra
+        out = np.full(int(room.sum()), 32, np.uint8)
+        to = ranges(np.cumsum(room) - room, n)
+        to[np.cumsum(n) - 1] += extra
+        out[to] = own[ranges(first[which], n)]
+        ids = self._ids(self.merger, out.tobytes().decode())
+        stop = np.r_[0, np.flatnonzero(self.ends[ids]) + 1]
+        pieces = np.cumsum(1 + extra)
+        if len(stop) != pieces[-1] + 1:  # a token of the vocabulary that ends no pre-token where it should
+            return which[:0], np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        return which, ids, np.diff(np.r_[0, stop[pieces]])
+
+    def _new(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words, one word after the other, and their numbers."""
+        which, ids, n = self._simple(data, starts, sizes)
+        rest = np.setdiff1d(np.arange(len(starts)), which, assume_unique=True)
+        coded = self._learn([data[a:a + k].tobytes() for a, k in zip(starts[rest].tolist(), sizes[rest].tolist())])
+        counts, begin = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        counts[which], counts[rest] = n, [len(x) // 4 for x in coded]
+        begin[which], begin[rest] = np.cumsum(n) - n, len(ids) + np.cumsum(counts[rest]) - counts[rest]
+        flat = np.r_[ids, np.frombuffer(b"".join(coded), "<u4")].astype(f"<u{self.width}")
+        return flat[ranges(begin, counts)], counts
+
     def _learn(self, new: list[bytes]) -> list[bytes]:
         """Ids of each word, as bytes."""
         out: list[bytes] = [b""] * len(new)
@@ -172,12 +265,19 @@ class Encoder:
         edge = np.flatnonzero(np.diff(np.r_[False, ~WHITE[data], False].view(np.int8)))
         starts, lengths = edge[::2], edge[1::2] - edge[::2]
         which, of = distinct_runs(data, starts, lengths)
-        new = [data[a:a + n].tobytes() for a, n in zip(starts[which].tolist(), lengths[which].tolist())]
-        coded: list[bytes] = []
-        for k in range(0, len(new), LEARN):
-            coded += self._learn(new[k:k + LEARN])
-        counts = np.array([len(x) // 4 for x in coded], np.int64)
-        flat = np.frombuffer(b"".join(coded), "<u4").astype(f"<u{self.width}")
+        word_at, word_size = starts[which], lengths[which]
+        hashes = run_hashes(data, word_at, word_size)
+        row = self.words.find(data, word_at, word_size, hashes)
+        known, fresh = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        coded = [self._new(data, word_at[part], word_size[part]) for part in np.split(fresh, range(LEARN, len(fresh), LEARN)) if len(part)]
+        learned = np.concatenate([c[0] for c in coded]) if coded else self.words.ids[:0]
+        table = self.words.table[row[known]]
+        counts, begin = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
+        counts[known] = table["n"]
+        counts[fresh] = np.concatenate([c[1] for c in coded]) if coded else []
+        flat = np.r_[self.words.ids, learned]
+        begin[known], begin[fresh] = table["ids"], len(self.words.ids) + np.cumsum(counts[fresh]) - counts[fresh]
+        self.words.add(data, word_at[fresh], word_size[fresh], hashes[fresh], learned, counts[fresh])
         per_word = counts[of]
         # word by word, with room for the end id after the last word of each text
         words = np.diff(np.searchsorted(starts, np.r_[0, ends]))
@@ -187,7 +287,7 @@ class Encoder:
         last = np.zeros(len(out), bool)
         last[stop - 1] = True
         out[last] = END_ID
-        out[~last] = flat[ranges((np.cumsum(counts) - counts)[of], per_word)]
+        out[~last] = flat[ranges(begin[of], per_word)]
         return [out[a:b] for a, b in zip((stop - total).tolist(), stop.tolist())]
 
 
