@@ -56,6 +56,10 @@ def _collect_model(centers: DataFrame) -> _Model:
     return _Model([(r["cluster"], r["center"]) for r in centers.select("cluster", "center").collect()])
 
 
+def _farthest_move(old: _Model, new: _Model) -> float:
+    return float(np.sqrt(((np.array(old.values) - np.array(new.values)) ** 2).sum(axis=1)).max(initial=0.0))
+
+
 def _nearest_numpy(x: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest centre (first on ties) and its squared distance."""
     best = np.full(len(x), np.inf)
@@ -100,7 +104,7 @@ def nearest(points: DataFrame, centers: DataFrame | _Model, features: str = "fea
             table = F.lit(model.values).cast("array<array<double>>")
             ids = F.lit(model.ids).cast("array<int>")
             best = F.array_min(F.transform(F.arrays_zip(table.alias("c"), ids.alias("i")), lambda s: F.struct(
-                distance(x, s["c"]).cast("double").alias("d"), s["i"].alias("i"))))
+                checked(F.when(F.forall(x, lambda v: v.isNotNull()), distance(x, s["c"]).cast("double")), x, model.dims).alias("d"), s["i"].alias("i"))))
         return points.withColumn("_best", best).select(
             *points.columns, F.col("_best.i").alias("cluster"), F.col("_best.d").alias("sq_distance"))
 
@@ -209,11 +213,12 @@ def distinct_centers(points: DataFrame) -> DataFrame:
 
 def kmeans(points: DataFrame, centers: DataFrame, iterations: int | None = None, dedupe: bool = False,
            empty: str | None = None, features: str = "features",
-           distance: Distance | None = None) -> Clustering:
+           distance: Distance | None = None, tol: float | None = None) -> Clustering:
     """k-means from given centres.
 
     ``iterations=None`` runs until no point changes its cluster; a number runs
-    exactly that many rounds.  ``dedupe`` lets equal points weigh once.  A
+    exactly that many rounds.  With ``tol`` a run also ends after the first round that moves no centre
+    farther than that (and drops none).  ``dedupe`` lets equal points weigh once.  A
     cluster that loses all points keeps its centre (``empty='keep'``) or
     vanishes (``'drop'``, the default together with ``dedupe``).
     """
@@ -228,8 +233,11 @@ def kmeans(points: DataFrame, centers: DataFrame, iterations: int | None = None,
     rounds, last = 0, None
     try:
         while iterations is None or rounds < iterations:
+            old = model
             model, mark = _lloyd_round(df, model, features, empty, distance)
             rounds += 1
+            if tol is not None and old.ids == model.ids and _farthest_move(old, model) <= tol:
+                break
             if mark == last:  # same members as before: the centres cannot move again
                 break
             last = mark

@@ -24,11 +24,15 @@ def _dims(points: DataFrame) -> int:
 
 
 def _wide(points: DataFrame, dims: int, *extra: str) -> DataFrame:
-    """One primitive column per feature: null-free, compactly cached, short generated code."""
+    """One primitive column per feature: null-free, compactly cached, short generated code.
+
+    The size of a vector is looked at once, with its first component; each component only for NULL.
+    """
     x = F.col("features")
-    return points.select(
-        *extra, F.col("label").cast("double").alias("y"),
-        *[checked(F.get(x, F.lit(j)), x, dims).alias(f"x{j}") for j in range(dims)])
+    null = F.raise_error(F.lit(f"vectors differ in size from {dims} or hold NULL")).cast("double")
+    rest = [F.coalesce(F.get(x, F.lit(j)), null).alias(f"x{j}") for j in range(1, dims)]
+    first = [checked(F.get(x, F.lit(0)), x, dims).alias("x0")] if dims else []
+    return points.select(*extra, F.col("label").cast("double").alias("y"), *first, *rest)
 
 
 def gradient(df: DataFrame, theta: list[float]) -> DataFrame:

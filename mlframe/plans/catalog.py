@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mlframe.functions import rng, vec
-from mlframe.operators import (bow, canopy, evaluate, forest, graph, hac, kmeans, kmeans_bow, logreg, pairs)
+from mlframe.operators import (bow, canopy, evaluate, forest, graph, hac, kmeans, kmeans_bow, logreg, naive_bayes, pairs)
 from mlframe.runtime import scratch_dir
 from mlframe.sources import generate, sinks, text
 
@@ -165,7 +165,8 @@ def vector_functions(spark, d):
         rnd(vec.euclidean(x, c)).alias("dist"), rnd(vec.sq_dist(x, c)).alias("sq_dist"),
         rnd(total(vec.vadd(x, c))).alias("add_total"), rnd(total(vec.vsub(x, c))).alias("sub_total"),
         rnd(total(vec.vscale(x, 2.5))).alias("scale_total"), rnd(vec.velement(x, 0)).alias("first"),
-        vec.vequal(x, x).alias("same"), rnd(vec.sigmoid(vec.dot(x, c))).alias("sig"))
+        vec.vequal(x, x).alias("same"), vec.vequal(x, c).alias("other"),
+        vec.vequal(x, F.when(vec.velement(x, 0) > 0, x).otherwise(vec.vscale(x, 2.0))).alias("mixed"), rnd(vec.sigmoid(vec.dot(x, c))).alias("sig"))
 
 
 def string_functions(spark, d):
@@ -362,6 +363,12 @@ def kmeans_custom_distance(spark, d):
         F.count("*").alias("n"), rnd(F.sum("distance"), 3).alias("total"))
 
 
+def kmeans_tol(spark, d):
+    """Ends after the first round that moves no centre farther than 0.01, here before the eighth."""
+    res = kmeans.kmeans(items(spark, d), _small_centers(spark), 8, tol=0.01)
+    return flat(res.centers, ["cluster"], "center").withColumn("rounds", F.lit(res.rounds))
+
+
 def kmeans_pp_init(spark, d):
     return flat(kmeans.kmeans_pp_init(embeddings(spark, d), 4, SEED, portable=True), ["cluster"], "center")
 
@@ -537,6 +544,13 @@ def logreg_accuracy(spark, d):
     return evaluate.correct_count(logreg.logreg_predict(items(spark, d), theta))
 
 
+def bayes_predict(spark, d):
+    """Quality of every document by its words, learned from the labelled ones."""
+    b = documents_bow(spark, d)
+    model = naive_bayes.fit(b, table(spark, d, "labels").select("doc_id", F.col("quality").alias("label")))
+    return model.predict(b).select("doc_id", "prediction", rnd("score", 4).alias("score"))
+
+
 # ---- trees and forests ---------------------------------------------------------------------
 
 def _flag_points(spark, d):
@@ -642,6 +656,6 @@ ALL = [
     forest_lineitem, sampled_lines_file, generated_lines_file, scored_lines_file, cluster_lines_file, cluster_folders,
     canopy_max_rounds, hac_history_lines, hac_level_changes, forest_lineitem_binned, forest_binned_nodes, tree_binned,
     forest_scores, hac_memberships, doc_near_copies, doc_dot_large, hash_independent_set,
-    hac_order_history,
+    hac_order_history, kmeans_tol, bayes_predict,
 ]
 QUERIES = {f.__name__: f for f in ALL}

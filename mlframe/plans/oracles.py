@@ -317,7 +317,8 @@ SQL: dict[str, str] = {
     "vector_functions": f"""WITH {EMB}, {MEANS} SELECT row_id, {rnd('sqrt(list_dot_product(f, f))')} AS norm,
   {rnd('list_dot_product(f, c)')} AS dot, {rnd('list_distance(f, c)')} AS dist, {rnd('list_distance(f, c) ** 2')} AS sq_dist,
   {rnd('list_sum(f) + list_sum(c)')} AS add_total, {rnd('list_sum(f) - list_sum(c)')} AS sub_total,
-  {rnd('2.5 * list_sum(f)')} AS scale_total, {rnd('f[1]')} AS first, true AS same,
+  {rnd('2.5 * list_sum(f)')} AS scale_total, {rnd('f[1]')} AS first, true AS same, f = c AS other,
+  f[1] > 0 OR f = list_transform(f, lambda v: v * 2) AS mixed,
   {rnd('1.0 / (1.0 + exp(-list_dot_product(f, c)))')} AS sig FROM pts JOIN c0 ON c0.cluster = pts.label""",
     "string_functions": """SELECT o_orderkey, replace(o_orderpriority, '-', ';') AS packed, left(o_orderpriority, 1) AS head,
   regexp_replace(o_orderpriority, '[^0-9]', '', 'g') AS digits FROM orders""",
@@ -359,6 +360,10 @@ SQL: dict[str, str] = {
     "kmeans_distinct_centers": f"""WITH pts AS MATERIALIZED (SELECT row_number() OVER () AS rid, {LI_ID} AS row_id, [l_quantity / 10.0, l_tax * 10.0]::DOUBLE[] AS f FROM lineitem),
   c0 AS (SELECT (row_number() OVER (ORDER BY x) - 1)::INTEGER AS cluster, [x, 0.5]::DOUBLE[] AS c FROM (SELECT DISTINCT l_linenumber::DOUBLE AS x FROM lineitem)),
   {lloyd(2, 2)} {flat('c2', 2)}""",
+    "kmeans_tol": f"""WITH {ITEMS}, {SMALL}, {lloyd(8, 2)},
+  rounds AS ({' UNION ALL '.join(f'SELECT {i} AS i, n.cluster, n.c, list_distance(n.c, o.c) AS moved FROM c{i} n JOIN c{i - 1} o USING (cluster)' for i in range(1, 9))}),
+  stop AS (SELECT coalesce(min(i), 8)::INTEGER AS r FROM (SELECT i FROM rounds GROUP BY i HAVING max(moved) <= 0.01)),
+  final AS (SELECT cluster, c, r FROM rounds JOIN stop ON i = r) {flat('final', 2, 'r AS rounds,')}""",
     "kmeans_dedupe": f"""WITH {ITEMS}, {SMALL}, uni AS MATERIALIZED (SELECT f, min(row_id) AS row_id, min(rid) AS rid FROM pts GROUP BY 1),
   {lloyd(3, 2, 'uni', keep=False)} {flat('c3', 2)}""",
     "kmeans_assignment_lines": f"""WITH pts AS (SELECT row_number() OVER () AS rid, o_orderkey AS row_id, [o_totalprice / 700.0 + 1e-7,
@@ -468,6 +473,15 @@ SQL: dict[str, str] = {
     "tree_depth_2": f"""WITH {DOC_FEATURES}, {tree_levels('(SELECT 1 AS tree_id, f, label FROM docs)', 2, 4)}
   SELECT node_id, feature, threshold, n, prediction, n_prediction FROM nodes""",
     "forest_nodes": f"WITH {FOREST} SELECT tree_id, node_id, feature, threshold, n, prediction, n_prediction FROM nodes",
+    "bayes_predict": f"""WITH {BOW}, counts AS MATERIALIZED (SELECT term, quality AS label, sum(cnt)::DOUBLE AS c FROM bow JOIN labels USING (doc_id) GROUP BY 1, 2),
+  voc AS MATERIALIZED (SELECT DISTINCT term FROM counts), known AS MATERIALIZED (SELECT * FROM bow SEMI JOIN voc USING (term)),
+  classes AS (SELECT label, ln(k / sum(k) OVER ()) AS prior, coalesce(total, 0) + (SELECT count(*) FROM voc) AS mass
+    FROM (SELECT quality AS label, count(*) AS k FROM labels GROUP BY 1) LEFT JOIN (SELECT label, sum(c) AS total FROM counts GROUP BY 1) USING (label)),
+  s AS (SELECT d.doc_id, l.label, l.prior + coalesce(sum(k.cnt * ln((coalesce(c.c, 0) + 1) / l.mass)), 0) AS score
+    FROM (SELECT DISTINCT doc_id FROM bow) d CROSS JOIN classes l LEFT JOIN known k ON k.doc_id = d.doc_id
+    LEFT JOIN counts c ON c.term = k.term AND c.label = l.label GROUP BY d.doc_id, l.label, l.prior)
+  SELECT doc_id, label AS prediction, {rnd('score', 4)} AS score FROM s
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, label) = 1""",
     "forest_scores": f"WITH {FOREST}, {route(EVERY_DOC, 2)}, {VOTES} SELECT row_id, prediction, {rnd('share')} AS share FROM pred",
     "forest_binned_nodes": f"WITH {BINNED_FOREST} SELECT tree_id, node_id, feature, threshold, n, prediction, n_prediction FROM edged",
     "tree_binned": f"WITH {BINNED_TREE} SELECT node_id, feature, threshold, n, prediction, n_prediction FROM edged",

@@ -161,16 +161,19 @@ def read_centers(spark: SparkSession, path: str, sep: str = " ", dims: int = 2,
     )
 
 
-def parse_theta(lines: DataFrame) -> DataFrame:
-    """Comma list of weights -> theta (exponents such as ``1.0E-5`` are read in full)."""
-    clean = F.regexp_replace("value", r"[^0-9eE+.,\-]", "")
-    parts = F.filter(F.split(clean, ","), lambda p: p != "")
-    return lines.select(*_keep(lines), _numbers(parts).alias("theta"))
+def parse_theta(lines: DataFrame, malformed: str = "fail", counts: Observation | None = None) -> DataFrame:
+    """Comma list of weights -> theta (exponents such as ``1.0E-5`` are read in full; empty fields, as behind a last comma, are none)."""
+    parts = F.filter(_fields(","), lambda p: p != "")
+    rows = _sound(lines, parts, (F.size("_p") > 0) & _readable(F.col("_p")), malformed, counts)
+    return rows.select(*_keep(lines), _numbers(F.col("_p")).alias("theta"))
 
 
-def read_theta(spark: SparkSession, path: str) -> list[float]:
+def read_theta(spark: SparkSession, path: str, **malformed) -> list[float]:
     """The one-line model file as a driver-side list."""
-    return list(parse_theta(read_lines(spark, path)).first()["theta"])
+    row = parse_theta(read_lines(spark, path), **malformed).first()
+    if row is None:
+        raise ValueError("no weights")
+    return list(row["theta"])
 
 
 def in_memory(spark: SparkSession, rows: list, schema: str) -> DataFrame:

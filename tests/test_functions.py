@@ -99,12 +99,16 @@ def test_readers(spark, tmp_path):
     bad = [(lambda p: text.read_points(spark, p, "|", 2, True), ("1|x|2|", "1|2|", "a|1|2|")),
            (lambda p: text.read_labeled_points(spark, p, 2, 3), ("1,2,1.7", "1,y,2", "1,2")),
            (lambda p: text.read_labeled_vectors(spark, p, 1), ("1,b,c", "3,4")),
-           (lambda p: text.read_word_sets(spark, p), ("7 x", "word"))]
+           (lambda p: text.read_word_sets(spark, p), ("7 x", "word")),
+           (lambda p: text.parse_theta(text.read_lines(spark, p)), ("1.0,x,2", "Theta 1.0,2", "1,,2 3", ","))]
     for read, bodies in bad:
         for body in bodies:
             with pytest.raises(Exception, match="malformed line"):
                 read(write("bad", body + "\n")).collect()
     assert text.read_theta(spark, write("t", "1.0E-5,-2.5,3\n")) == [1e-5, -2.5, 3.0]
+    assert text.read_theta(spark, write("t", "a,b\n 1, 2 ,\n"), malformed="drop") == [1.0, 2.0]
+    with pytest.raises(ValueError):
+        text.read_theta(spark, write("t", "a\n"), malformed="drop")
 
 
 def test_sinks(spark, tmp_path):

@@ -128,6 +128,27 @@ def test_name_clashes_are_rejected(spark):
         kmeans.assign(frame(spark, [[1.0, 2.0]]).withColumn("cluster", F.lit(1)), cframe(spark, [[0.0, 0.0]]))
 
 
+def test_custom_distance_rejects_odd_vectors(spark):
+    both = lambda x, c: F.abs(x[0] - c[0]) + F.abs(x[1] - c[1])
+    for odd in ([1.0], [1.0, 2.0, 3.0], [1.0, None], None):
+        points = spark.createDataFrame([(1, [0.0, 0.0]), (2, odd)], "row_id long, features array<double>")
+        with pytest.raises(Exception):
+            kmeans.assign(points, cframe(spark, [[0, 0], [1, 1]]), distance=both).collect()
+
+
+def test_tolerance(spark):
+    pts = frame(spark, [[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [9.0, 0.0], [10.0, 0.0], [30.0, 0.0]])
+    start = cframe(spark, [[0, 0], [1, 0]])
+    full = kmeans.kmeans(pts, start)
+    steps = [kmeans.kmeans(pts, start, n) for n in range(full.rounds + 1)]
+    value = lambda r: [c["center"][0] for c in r.centers.orderBy("cluster").collect()]
+    centers = [value(r) for r in steps]
+    for tol in (0.0, 0.5, 3.0, 100.0):
+        got = kmeans.kmeans(pts, start, tol=tol)
+        want = next(i for i in range(1, len(centers)) if max(abs(a - b) for a, b in zip(centers[i], centers[i - 1])) <= tol)
+        assert got.rounds == want and value(got) == centers[want]
+
+
 def test_custom_distance_with_many_centres(spark):
     many = cframe(spark, [[float(i), 0.0] for i in range(1000)])
     rows = kmeans.assign(frame(spark, [[700.2, 0.0], [3.6, 0.0]]), many,
