@@ -92,6 +92,8 @@ class Index:
         pos = np.flatnonzero(self.filter[_slot(code)])
         pos = pos[self.keys[np.minimum(np.searchsorted(self.keys, code[pos]), len(self.keys) - 1)] == code[pos]]
         need, span = max(1, int(self.need.min())), int((self.width + self.budget).max()) - Q + 1
+        if len(pos) < need:
+            return out
         first = np.flatnonzero(pos[need - 1:] - pos[:len(pos) - need + 1] < span)
         if not len(first):
             return out
