@@ -10,14 +10,16 @@ phrases are then sums over buckets.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mlframe.llm.common import ranges, raw, whole_groups
+from mlframe.llm.common import kinds, ranges, raw, whole_groups
 from mlframe.runtime import durable
 
 LONGEST, LEAST = 4, 30
@@ -25,7 +27,7 @@ LONGEST, LEAST = 4, 30
 INSIDE = 80
 TOP = 2000
 # Bytes of text in a lot, and suffixes meant for a bucket.
-LOT_BYTES, BUCKET = 2_000_000, 1_000_000
+LOT_BYTES, BUCKET = 3_000_000, 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # What ends a piece, what parts words.
@@ -34,6 +36,7 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(GAPS)], _KIND[list(BREAKS)] = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+HEAD = struct.Struct("<qqBB?")
 _GAP = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
 _AHEAD = re.compile(rb"(?:[\x20\x09]*[^\x20\x09.,;:!?\x0A-\x0D]+){0,%d}" % (LONGEST - 1))
 
@@ -148,35 +151,44 @@ def _route(hot: np.ndarray, buckets: int):
             group = bucket.astype(np.int64) * len(lot.langs) + lot.lang
             order = np.argsort(group, kind="stable")
             cuts = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
-            words = pa.array(lot.words, pa.binary())
-            columns: list[list] = [[], [], [], [], [], []]
-            size = 0
+            lines = np.frombuffer(b"\n".join(lot.words) + b"\n", np.uint8)  # no word holds a line end
+            sizes = np.array([len(w) + 1 for w in lot.words])
+            places = np.cumsum(sizes) - sizes
+            packer = zstandard.ZstdCompressor(1)
+            rows_out: list[tuple[int, str, bytes]] = []
             for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
                 rows = order[a:b]
-                used, local = np.unique(lot.keys[:, rows], return_inverse=True)
-                used, local = (used, local) if used[0] == 0 else (np.r_[0, used], local + 1)
-                mine = words.take(pa.array(used[1:] - 1))
-                width = "<u2" if len(used) < 1 << 16 else "<u4"
                 g = int(group[rows[0]])
-                row = (g // len(lot.langs), lot.langs[g % len(lot.langs)], mine.to_pylist(), local.astype(width).tobytes(),
-                       lot.counts[rows].astype("<u4" if lot.total < 1 << 32 else "<u8").tobytes(), parted[rows].tobytes())
-                for c, v in zip(columns, row):
-                    c.append(v)
-                size += 16 * len(rows) + 8 * len(used)
-                if size > 4_000_000:
-                    yield _packed(columns)
-                    columns, size = [[], [], [], [], [], []], 0
-            if columns[0]:
-                yield _packed(columns)
+                data = packer.compress(_pack(lines, places, sizes, lot.keys[:, rows], lot.counts[rows], parted[rows]))
+                rows_out.append((g // len(lot.langs), lot.langs[g % len(lot.langs)], data))
+            bucket_of, lang_of, data = zip(*rows_out)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket_of, pa.int64()), pa.array(lang_of, pa.string()), pa.array(data, pa.binary())],
+                                             ["bucket", "lang", "data"])
     return run
 
 
-PACKED = "bucket long, lang string, words array<binary>, keys binary, counts binary, parted binary"
+PACKED = "bucket long, lang string, data binary"
 
 
-def _packed(columns: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "lang", "words", "keys", "counts", "parted"])
+def _pack(lines: np.ndarray, places: np.ndarray, sizes: np.ndarray, keys: np.ndarray, counts: np.ndarray, parted: np.ndarray) -> bytes:
+    """Suffixes with the words they use: sizes, the words in lines, numbers of words by place, counts, and ``parted`` if any."""
+    first, local = kinds(keys.ravel())
+    used = keys.ravel()[first]
+    used, local = (used, local) if used[0] == 0 else (np.r_[0, used], local + 1)
+    text = lines[ranges(places[used[1:] - 1], sizes[used[1:] - 1])].tobytes()[:-1]
+    width, size = 2 if len(used) < 1 << 16 else 4, next(k for k in (1, 2, 4, 8) if k == 8 or int(counts.max()) < 1 << 8 * k)
+    some = parted.any()
+    return b"".join([HEAD.pack(keys.shape[1], len(text), width, size, some), text, local.astype(f"<u{width}").tobytes(),
+                     counts.astype(f"<u{size}").tobytes(), parted.tobytes() if some else b""])
+
+
+def _unpack(data: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    n, n_text, width, size, some = HEAD.unpack_from(data)
+    at = HEAD.size + n_text
+    keys = np.frombuffer(data, f"<u{width}", LONGEST * n, at).reshape(LONGEST, n)
+    counts = np.frombuffer(data, f"<u{size}", n, at + keys.nbytes)
+    parted = np.frombuffer(data, np.int8, n, at + keys.nbytes + counts.nbytes) if some else np.zeros(n, np.int8)
+    return data[HEAD.size:at], keys, counts.astype(np.int64), parted
 
 
 def partition_sort(keys: np.ndarray, counts: np.ndarray, parted: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,26 +231,27 @@ def partition_sort(keys: np.ndarray, counts: np.ndarray, parted: np.ndarray, lea
 
 def _sorted_buckets(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for group in whole_groups(batches, ["bucket"]):
-            lists = group.column("words").combine_chunks()
-            sizes = np.diff(lists.offsets.to_numpy())
-            coded = lists.flatten().cast(pa.large_binary()).dictionary_encode()
-            number = coded.indices.to_numpy().astype(np.int32) + 1
             langs = group.column("lang").to_pylist()
             lang_no = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-            first = np.cumsum(sizes) - sizes
-            keys, counts, parted = [], [], []
-            for i in range(group.num_rows):
-                p = np.frombuffer(group.column("parted")[i].as_buffer(), np.int8)
-                local = np.frombuffer(group.column("keys")[i].as_buffer(), "<u2" if sizes[i] + 1 < 1 << 16 else "<u4").reshape(LONGEST, len(p))
-                names = np.r_[np.int32(0), number[first[i]:first[i] + sizes[i]]]
-                keys.append(np.vstack([np.full((1, len(p)), lang_no[langs[i]], np.int32), names[local]]))
-                c = group.column("counts")[i].as_buffer()
-                counts.append(np.frombuffer(c, "<u4" if c.size == 4 * len(p) else "<u8").astype(np.int64))
-                parted.append(p)
+            parts = [_unpack(unpacker.decompress(x)) for x in group.column("data").to_pylist()]
+            # all words of the bucket, numbered anew
+            buffer = np.frombuffer(b"\n".join([p[0] for p in parts]) + b"\n", np.uint8)
+            ends = np.flatnonzero(buffer == 10)
+            offsets = np.r_[0, ends + 1] - np.arange(len(ends) + 1)
+            coded = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[buffer != 10])]).dictionary_encode()
+            number = coded.indices.to_numpy().astype(np.int32) + 1
+            keys, at = [], 0
+            for lang, (text, local, _, _) in zip(langs, parts):
+                names = np.r_[np.int32(0), number[at:at + text.count(b"\n") + 1]]
+                at += len(names) - 1
+                keys.append(np.vstack([np.full((1, local.shape[1]), lang_no[lang], np.int32), names[local]]))
+            counts, parted = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
             matrix = np.concatenate(keys, axis=1)
-            del keys
-            ptr, depth, weight = partition_sort(matrix, np.concatenate(counts), np.concatenate(parted), least)
+            del keys, parts, buffer, number
+            ptr, depth, weight = partition_sort(matrix, counts, parted, least)
             words, names = coded.dictionary, list(lang_no)
             for k in range(0, len(ptr), 50_000):
                 p, d = ptr[k:k + 50_000], depth[k:k + 50_000]
@@ -263,7 +276,7 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     totals = scanned.where("hash IS NULL").select("lang", "n")
     total = totals.agg(F.sum("n")).first()[0] or 0
     hot = [r.hash for r in scanned.where(F.col("hash").isNotNull() & (F.col("n") * 4 * partitions >= total)).select("hash").collect()]
-    buckets = max(4 * partitions, total // BUCKET + 1)
+    buckets = max(partitions, total // BUCKET + 1)
     routed = rows.mapInArrow(_route(np.array(hot, np.int64).view(np.uint64), buckets), PACKED)
     parts = routed.repartition(partitions, "bucket").sortWithinPartitions("bucket") \
         .mapInArrow(_sorted_buckets(least), "lang string, phrase string, size int, f long")
