@@ -23,7 +23,7 @@ from mlframe.runtime import durable
 WINDOW = 13
 ANCHOR = 4
 # Documents of a task are compared among themselves in lots of about this many bytes before anything is shuffled.
-LOT_BYTES = 12_000_000
+LOT_BYTES = 5_000_000
 MANY_WORDS = 400_000
 TAG_BITS = 16
 # Anchors of more windows than this, judged by one document of HOT_SAMPLE, are split by the windows' own hashes.
@@ -243,7 +243,7 @@ def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(cols[0], pa.int64()), *(pa.array(c, pa.int32()) for c in cols[1:4]), pa.array(cols[4], pa.binary())], [*SOURCE, "words"])
 
     for batch in batches:
-        for d, t, asked in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), batch.column("asked").to_pylist()):
+        for d, t, asked in zip(batch.column("id").to_pylist(), raw(batch.column("body")), batch.column("asked").to_pylist()):
             if t is None:
                 continue
             words, tag = t.split(), _tag(t)
@@ -310,18 +310,19 @@ def cut_out(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row: words covered by a window of ``found`` are removed.
 
     Each span is held against the words of its source, and windows that differ in a word stay.  Texts are dealt by doc_id once,
-    for the sources and for the cuts.
+    for the sources and for the cuts, after the shuffle files of the paths are gone.
     """
     rows = _texts(docs)
-    known = rows.where("doc_id is not null")
-    paths = durable(spans(found))
+    # names of their own keep both uses of the texts one plan, and so one shuffle
+    known = rows.where("doc_id is not null").select(F.col("doc_id").alias("id"), F.col("text").alias("body"))
+    paths = durable(spans(found), release=True)
     asked = paths.select(*SOURCE).distinct().groupBy("src_doc").agg(F.collect_list(F.struct("src_tag", "src_start", "n")).alias("asked"))
-    passages = known.join(asked.withColumnRenamed("src_doc", "doc_id"), "doc_id").select("doc_id", "text", "asked") \
+    passages = known.join(asked, F.col("id") == F.col("src_doc")).select("id", "body", "asked") \
         .mapInArrow(_passages, "src_doc long, src_tag int, src_start int, n int, words binary") \
         .groupBy(*SOURCE).agg(F.collect_set("words").alias("words"))
     cuts = paths.join(passages, SOURCE).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "start", "n", "words")).alias("cuts"))
     alone = rows.where("doc_id is null").withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType))
-    return known.join(cuts, "doc_id", "left").select("doc_id", "text", "cuts").union(alone) \
+    return known.join(cuts, F.col("id") == F.col("doc_id"), "left").select(F.col("id").alias("doc_id"), F.col("body").alias("text"), "cuts").union(alone) \
         .mapInArrow(_remove, "doc_id long, n_words long, n_kept long, kept_sha256 string") \
         .select("doc_id", "n_words", (F.col("n_words") - F.col("n_kept")).alias("n_removed"), "kept_sha256")
 

@@ -1,7 +1,12 @@
 """Repeated passages: windows whose hashes meet by chance, spans held against the words, anchors that very many windows share."""
 
 import random
+import re
+import time
 
+from pyspark.sql import functions as F
+
+from mlframe import runtime
 from mlframe.llm import substrings
 from tests.llm import brute
 from tests.llm.test_edges import frame, pairs, text
@@ -40,3 +45,30 @@ def test_hot_anchors_are_split(spark):
     assert not {a.anchor for a in keys.collect()} & {int(a) for a in hot.view("int64")}
     found = substrings.repeats(docs, hot_windows=20, hot_sample=1)
     assert result(substrings.cut_out(docs, found)) == brute.repeats(pairs(rows))
+
+
+def test_texts_are_shuffled_once(spark, capsys):
+    rows = [(i, text(40 + i % 3, 30), "s") for i in range(9)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = substrings.query(frame(spark, rows))
+        got.explain()
+        plan = capsys.readouterr().out
+        assert plan.count("ReusedExchange") == 1 and result(got) == brute.repeats(pairs(rows))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_shuffle_files_go_with_their_write(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    df = spark.range(5000).withColumn("k", F.col("id") % 7).repartition(5, "k").groupBy("k").count()
+    files = lambda: set(re.findall(r"shuffle_\w+", str(disk.getAllFiles())))
+    before, kept = files(), spark.conf.get(runtime.RELEASE, None)
+    out = runtime.durable(df, release=True)
+    time.sleep(1)
+    assert not files() - before and spark.conf.get(runtime.RELEASE, None) == kept
+    assert sorted(tuple(r) for r in out.collect()) == sorted((k, 5000 // 7 + (k < 5000 % 7)) for k in range(7))
+    runtime.discard(out)
