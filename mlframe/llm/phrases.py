@@ -19,7 +19,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from mlframe.llm.common import kinds, ranges, raw, whole_groups
+from mlframe.llm.common import group_starts, kinds, ranges, raw, slices, whole_groups
 from mlframe.runtime import durable
 
 LONGEST, LEAST = 4, 30
@@ -103,7 +103,7 @@ class Lot:
 
 def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[Lot]:
     held, size = [], 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         langs = batch.column("lang").to_pylist()
         for lang, text in zip(langs, raw(batch.column("text"))):
             for part, own in _stretches(text):
@@ -229,37 +229,54 @@ def partition_sort(keys: np.ndarray, counts: np.ndarray, parted: np.ndarray, lea
     return tuple(np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in range(3))
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """One table a bucket, so a task sorts no more than a bucket at a time."""
+    for rows in whole_groups(batches, ["bucket"]):
+        cuts = np.flatnonzero(group_starts(rows, ["bucket"])).tolist()
+        for a, b in zip(cuts, [*cuts[1:], rows.num_rows]):
+            yield rows.slice(a, b - a)
+
+
+def _sorted_bucket(group: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    unpacker = zstandard.ZstdDecompressor()
+    langs = group.column("lang").to_pylist()
+    lang_no = {x: i for i, x in enumerate(dict.fromkeys(langs))}
+    parts = [_unpack(unpacker.decompress(x.as_py())) for x in group.column("data")]
+    # all words of the bucket, numbered anew
+    buffer = np.frombuffer(b"\n".join([p[0] for p in parts]) + b"\n", np.uint8)
+    ends = np.flatnonzero(buffer == 10)
+    offsets = np.r_[0, ends + 1] - np.arange(len(ends) + 1)
+    coded = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[buffer != 10])]).dictionary_encode()
+    del buffer, ends, offsets
+    number = coded.indices.to_numpy().astype(np.int32) + 1
+    sizes = [p[1].shape[1] for p in parts]
+    matrix = np.empty((1 + LONGEST, sum(sizes)), np.int32)
+    counts, parted = np.empty(matrix.shape[1], np.int64), np.empty(matrix.shape[1], np.int8)
+    at = to = 0
+    for k, (lang, n) in enumerate(zip(langs, sizes)):
+        text, local, counts[to:to + n], parted[to:to + n] = parts[k]
+        parts[k] = None
+        names = np.r_[np.int32(0), number[at:at + text.count(b"\n") + 1]]
+        at += len(names) - 1
+        matrix[0, to:to + n], matrix[1:, to:to + n] = lang_no[lang], names[local]
+        to += n
+    words, names = coded.dictionary, list(lang_no)
+    del parts, number, coded
+    ptr, depth, weight = partition_sort(matrix, counts, parted, least)
+    for k in range(0, len(ptr), 50_000):
+        p, d = ptr[k:k + 50_000], depth[k:k + 50_000]
+        text = [words.take(pa.array(np.maximum(matrix[1 + j, p] - 1, 0))).to_pylist() for j in range(LONGEST)]
+        phrases = [b" ".join(t[:n]).decode() for *t, n in zip(*text, d.tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([names[i] for i in matrix[0, p].tolist()], pa.string()), pa.array(phrases, pa.string()), pa.array(d, pa.int32()),
+             pa.array(weight[k:k + 50_000])], ["lang", "phrase", "size", "f"])
+
+
 def _sorted_buckets(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
-        for group in whole_groups(batches, ["bucket"]):
-            langs = group.column("lang").to_pylist()
-            lang_no = {x: i for i, x in enumerate(dict.fromkeys(langs))}
-            parts = [_unpack(unpacker.decompress(x)) for x in group.column("data").to_pylist()]
-            # all words of the bucket, numbered anew
-            buffer = np.frombuffer(b"\n".join([p[0] for p in parts]) + b"\n", np.uint8)
-            ends = np.flatnonzero(buffer == 10)
-            offsets = np.r_[0, ends + 1] - np.arange(len(ends) + 1)
-            coded = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(buffer[buffer != 10])]).dictionary_encode()
-            number = coded.indices.to_numpy().astype(np.int32) + 1
-            keys, at = [], 0
-            for lang, (text, local, _, _) in zip(langs, parts):
-                names = np.r_[np.int32(0), number[at:at + text.count(b"\n") + 1]]
-                at += len(names) - 1
-                keys.append(np.vstack([np.full((1, local.shape[1]), lang_no[lang], np.int32), names[local]]))
-            counts, parted = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
-            matrix = np.concatenate(keys, axis=1)
-            del keys, parts, buffer, number
-            ptr, depth, weight = partition_sort(matrix, counts, parted, least)
-            words, names = coded.dictionary, list(lang_no)
-            for k in range(0, len(ptr), 50_000):
-                p, d = ptr[k:k + 50_000], depth[k:k + 50_000]
-                text = [words.take(pa.array(np.maximum(matrix[1 + j, p] - 1, 0))).to_pylist() for j in range(LONGEST)]
-                phrases = [b" ".join(t[:n]).decode() for *t, n in zip(*text, d.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[i] for i in matrix[0, p].tolist()], pa.string()), pa.array(phrases, pa.string()), pa.array(d, pa.int32()),
-                     pa.array(weight[k:k + 50_000])], ["lang", "phrase", "size", "f"])
+        for group in _buckets(batches):
+            yield from _sorted_bucket(group, least)
     return run
 
 

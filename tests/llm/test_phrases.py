@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,18 @@ def test_hot_words_are_split(spark):
 def test_empty(spark):
     assert phrases.query(spark.createDataFrame([], SCHEMA)).collect() == []
     assert phrases.query(spark.createDataFrame([(1, "a b a b", "en")], SCHEMA)).collect() == []
+
+
+def test_buckets_are_sorted_one_at_a_time(monkeypatch):
+    """A batch that holds several whole buckets is not sorted at once, so a task needs the memory of one."""
+    sizes, sort = [], phrases.partition_sort
+    monkeypatch.setattr(phrases, "partition_sort", lambda keys, *a: sizes.append(keys.shape[1]) or sort(keys, *a))
+    lots = [pa.RecordBatch.from_pydict({"lang": ["en", "und"], "text": ["a b a b a c", f"d{i} e f a b"]}) for i in range(3)]
+    routed = pa.Table.from_batches(list(phrases._route(np.zeros(0, np.uint64), 4)(iter(lots)))).sort_by("bucket").combine_chunks()
+    n = len(set(routed.column("bucket").to_pylist()))
+    got = [r for b in phrases._sorted_buckets(3)(iter(routed.to_batches())) for r in b.to_pylist()]
+    assert n > 1 and len(sizes) == n
+    assert {(r["lang"], r["phrase"]): r["f"] for r in got if r["f"] >= 3} == {
+        ("en", "a"): 9, ("en", "b"): 6, ("en", "a b"): 6, ("en", "b a"): 6, ("en", "a b a"): 6, ("en", "b a b"): 3, ("en", "b a c"): 3, ("en", "a b a b"): 3,
+        ("en", "a b a c"): 3, ("en", "b a b a"): 3, ("en", "c"): 3, ("en", "a c"): 3,
+        **{("und", x): 3 for x in ("e", "f", "a", "b", "e f", "f a", "a b", "e f a", "f a b", "e f a b")}}
