@@ -28,6 +28,8 @@ FREQUENT, FREQUENT_BYTES = 50_000, 32
 # A task sends its word counts on when it holds so many.
 HELD_WORDS = 400_000
 START = "▁"
+# Words of at most so many characters are tried on probabilities, which hold if their total is above LEAST.
+SHORT, LEAST = 200, 1e-280
 
 
 def vocabulary(path: str) -> tuple[dict[str, int], np.ndarray]:
@@ -61,7 +63,11 @@ def vocabulary(path: str) -> tuple[dict[str, int], np.ndarray]:
 
 
 class Lattice:
-    """Forward and forward-backward recursions over the segmentations of one word."""
+    """Forward and forward-backward recursions over the segmentations of one word.
+
+    Both first run on plain probabilities, with one look-up per character and start.  All terms are positive, so what gets
+    lost below the least double is less than LEAST / 1e-308 of a total above LEAST; words of a smaller total run on logs.
+    """
 
     def __init__(self, ids: dict[str, int], logp: np.ndarray):
         self.logp = logp.tolist()
@@ -72,6 +78,18 @@ class Lattice:
             for j in range(1, len(k)):
                 self.steps.setdefault(k[:j], -1)
         self.steps |= self.ids
+        # the same pieces by characters: what may follow, the id or -1, the probability
+        self.tree: dict[str, tuple[dict, int, float]] = {}
+        nodes = {"": self.tree}
+        for k in sorted(self.steps):
+            p = self.steps[k]
+            nodes[k] = below = {}
+            nodes[k[:-1]][k[-1]] = (below, p, math.exp(self.logp[p]) if p >= 0 else 0.0)
+
+    def spelled(self, c: str) -> tuple[tuple[int, ...], float]:
+        """The byte pieces of a character, and their log weight."""
+        pieces = tuple(self.bytes[b] for b in c.encode())
+        return pieces, sum(self.logp[p] for p in pieces)
 
     def edges(self, s: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every start, (end, log weight, pieces).  A character without a piece of its own is spelled in bytes."""
@@ -85,13 +103,31 @@ class Lattice:
                 if j > len(s):
                     break
             if s[i] not in self.ids:
-                spelled = tuple(self.bytes[b] for b in s[i].encode())
-                here.append((i + 1, sum(logp[p] for p in spelled), spelled))
+                pieces, lp = self.spelled(s[i])
+                here.append((i + 1, lp, pieces))
             out.append(here)
         return out
 
     def forward(self, s: str) -> float:
         """Log of the summed probability of all segmentations."""
+        n, ids = len(s), self.ids
+        if n <= SHORT:
+            alpha = [1.0] + [0.0] * n
+            for i in range(n):
+                a, node = alpha[i], self.tree
+                for j in range(i, n):
+                    if (got := node.get(s[j])) is None:
+                        break
+                    node, p, q = got
+                    if p >= 0:
+                        alpha[j + 1] += a * q
+                if s[i] not in ids:
+                    alpha[i + 1] += a * math.exp(self.spelled(s[i])[1])
+            if alpha[n] > LEAST:
+                return math.log(alpha[n])
+        return self.forward_log(s)
+
+    def forward_log(self, s: str) -> float:
         n, exp, log = len(s), math.exp, math.log
         into: list[list[float]] = [[] for _ in range(n + 1)]
         into[0].append(0.0)
@@ -109,12 +145,44 @@ class Lattice:
                 if j > n:
                     break
             if s[i] not in ids:
-                into[i + 1].append(a + sum(logp[self.bytes[b]] for b in s[i].encode()))
+                into[i + 1].append(a + self.spelled(s[i])[1])
         m = max(into[n])
         return m + log(sum([exp(x - m) for x in into[n]]))
 
-    def expect(self, s: str, weight: float, into: np.ndarray) -> None:
+    def expect(self, s: str, weight: float, into: np.ndarray | list[float]) -> None:
         """Add ``weight`` times the expected uses of each piece in ``s`` to ``into``."""
+        n, ids = len(s), self.ids
+        if n <= SHORT:
+            alpha = [1.0] + [0.0] * n
+            used = []
+            for i in range(n):
+                a, node = alpha[i], self.tree
+                for j in range(i, n):
+                    if (got := node.get(s[j])) is None:
+                        break
+                    node, p, q = got
+                    if p >= 0:
+                        alpha[j + 1] += a * q
+                        used.append((i, j + 1, p, q))
+                if s[i] not in ids:
+                    pieces, lp = self.spelled(s[i])
+                    alpha[i + 1] += a * math.exp(lp)
+                    used.append((i, i + 1, pieces, math.exp(lp)))
+            if alpha[n] > LEAST:
+                share = weight / alpha[n]
+                beta = [0.0] * n + [1.0]
+                for i, j, p, q in reversed(used):
+                    q *= beta[j]
+                    beta[i] += q
+                    if type(p) is int:
+                        into[p] += share * alpha[i] * q
+                    else:
+                        for x in p:
+                            into[x] += share * alpha[i] * q
+                return
+        self.expect_log(s, weight, into)
+
+    def expect_log(self, s: str, weight: float, into: np.ndarray | list[float]) -> None:
         edges, n = self.edges(s), len(s)
         alpha = [-math.inf] * (n + 1)
         alpha[0] = 0.0
@@ -179,10 +247,11 @@ def fit(words: DataFrame, n_docs: int, ids: dict[str, int], logp: np.ndarray, ro
         shared = sc.broadcast((ids, logp))
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            lattice, use = Lattice(*shared.value), np.zeros(len(shared.value[1]))
+            lattice, use = Lattice(*shared.value), [0.0] * len(shared.value[1])
             for batch in batches:
                 for w, c in zip(batch.column("word").to_pylist(), batch.column("c").to_pylist()):
                     lattice.expect(START + w.decode(), c, use)
+            use = np.array(use)
             at = np.flatnonzero(use)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(use[at])], ["piece", "uses"])
 
