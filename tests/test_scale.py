@@ -56,3 +56,18 @@ def test_a_bag_of_words_moves_texts(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert plan.count("Exchange") == 1
     assert [(r["doc_id"], r["terms"], r["cnts"]) for r in packed.collect()] == [(1, ["a", "b", "c"], [2.0, 2.0, 1.0])]
+
+
+def test_canopies_end_with_the_centres_asked_for(spark, monkeypatch):
+    """Runs of the smallest undecided ids are decided in turn, and no more of them than give the centres asked for."""
+    from mlframe.operators import canopy
+
+    monkeypatch.setattr(canopy, "LEADERS", 4)
+    monkeypatch.setattr(canopy, "PAIRS_PER_DOC", 0)
+    ran = []
+    plain = canopy.first_mis
+    monkeypatch.setattr(canopy, "first_mis", lambda nodes, edges: ran.append(nodes.count()) or plain(nodes, edges))
+    docs = {i: Counter({f"a{i // 5}": 1, f"b{i // 5}": 1, f"own{i}": 1}) for i in range(40)}
+    got = {tuple(r) for r in canopy.canopy_jaccard(bow_frame(spark, docs), 0.3, 0.5, max_rounds=2, batch=8).collect()}
+    assert got == {(0, i) for i in range(5)} | {(5, i) for i in range(5, 10)} | {(None, i) for i in range(10, 40)}
+    assert len(ran) == 2 and max(ran) <= 4
