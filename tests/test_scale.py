@@ -71,3 +71,26 @@ def test_canopies_end_with_the_centres_asked_for(spark, monkeypatch):
     got = {tuple(r) for r in canopy.canopy_jaccard(bow_frame(spark, docs), 0.3, 0.5, max_rounds=2, batch=8).collect()}
     assert got == {(0, i) for i in range(5)} | {(5, i) for i in range(5, 10)} | {(None, i) for i in range(10, 40)}
     assert len(ran) == 2 and max(ran) <= 4
+
+
+@pytest.mark.parametrize("linkage", ["single", "min_similarity"])
+def test_first_merges_multiply_few_blocks(spark, monkeypatch, linkage):
+    """The first merges are those of the whole forest, copies included, and take the blocks that can hold them only."""
+    import random
+
+    from mlframe.operators import hac
+    from tests.test_clusters import kruskal
+
+    r = random.Random(31)
+    size = lambda i: 30 if i % 20 == 0 else r.randint(2, 6)
+    docs = {i: Counter(f"t{min(int(r.expovariate(0.15)), 30)}" for _ in range(size(i))) for i in range(200)}
+    docs |= {200 + i: docs[i * 10] for i in range(20)} | {300 + i: docs[7] for i in range(5)}
+    pairs_made = []
+    plain = pairs.block_products
+    monkeypatch.setattr(pairs, "block_products", lambda l, r, p, *rest: pairs_made.append(p.count()) or plain(l, r, p, *rest))
+    want = kruskal(dots(docs), linkage == "single")
+    for n in (1, 8, 12):
+        pairs_made.clear()
+        got = hac.hac_documents(bow_frame(spark, docs), n, linkage, block_docs=16).history
+        assert sorted(tuple(x) for x in got.select("step", "old_id", "new_id", "sim").collect()) == want[:n]
+        assert sum(pairs_made) < 13 * 14 / 4  # of the pairs of some 13 blocks
