@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from mlframe.functions.rng import exact_sample, uniform
 from mlframe.functions.vec import add_all, batch_matrix, checked, sigmoid, unrolled_dot
-from mlframe.runtime import UNROLL_TERMS
+from mlframe.runtime import UNROLL_TERMS, discard, durable
 
 # Fewest rows of a batch of stochastic descent when the caller names no size.
 LEAST_BATCH = 1024
+# More batches than this are not a job each: runs of them are, of so many numbers (32 MB).
+STEP_JOBS = 64
+RUN_VALUES = 4_000_000
 
 
 def _dims(points: DataFrame) -> int:
@@ -112,10 +115,19 @@ def logreg_fit_sgd(points: DataFrame, alpha: float, iterations: int, subset: int
     if batch is None:
         n_batches = min(n_batches, steps)
     b = F.floor(uniform("row_id", seed, "batch", portable) * n_batches).cast("int")
-    # sorted by batch, so the cached blocks carry min/max statistics that skip other batches
     df = _prepare(points.withColumn("_b", b), dims, "_b")
-    df = (df.sortWithinPartitions("_b") if n_batches > 1 else df).persist()
     theta = [0.0] * dims
+    if n_batches > STEP_JOBS and batch is not None:
+        runs = _runs(df, n_batches, total // n_batches * (dims + 1))
+        try:
+            for _ in range(iterations):
+                for i in range(-(-n_batches // runs.batches)):
+                    theta = runs.descend(i, theta, alpha)
+        finally:
+            discard(runs.rows)
+        return theta
+    # sorted by batch, so the cached blocks carry min/max statistics that skip other batches
+    df = (df.sortWithinPartitions("_b") if n_batches > 1 else df).persist()
     try:
         for _ in range(iterations):
             for i in range(n_batches):
@@ -127,6 +139,52 @@ def logreg_fit_sgd(points: DataFrame, alpha: float, iterations: int, subset: int
     return theta
 
 
+class _runs:
+    """Rows in runs of whole batches, a folder each: one job walks through the batches of a run, as each starts from the last one's weights.
+
+    Each run is bounded in numbers, so the only task that holds it, batch by batch, is too.
+    """
+
+    def __init__(self, df: DataFrame, n_batches: int, batch_values: int):
+        self.batches = max(1, RUN_VALUES // max(batch_values, 1))
+        run = F.floor(F.col("_b") / self.batches).cast("int")
+        # two runs' rows never share a file, and the rows of a run stand in the order of their batches
+        placed = df.withColumn("_run", run).repartition("_run").sortWithinPartitions("_run", "_b")
+        self.rows = durable(placed, "_run", release=True)
+
+    def descend(self, i: int, theta: list[float], alpha: float) -> list[float]:
+        """The weights after the batches of run ``i``."""
+        dims, start, wide = len(theta), list(theta), "features" not in self.rows.columns
+
+        def walk(batches):
+            w, now, n, g = np.array(start), None, 0, np.zeros(dims)
+            for b in batches:
+                marks = b.column("_b").to_numpy(zero_copy_only=False)
+                if wide:
+                    x = np.array([b.column(f"x{j}").to_numpy(zero_copy_only=False) for j in range(dims)]).reshape(dims, len(marks)).T
+                else:
+                    x = batch_matrix(b.column("features"), dims)
+                y = b.column("y").to_numpy(zero_copy_only=False)
+                known = b.column("y").is_valid().to_numpy(zero_copy_only=False) | (not wide)  # as sums pass over NULL
+                cuts = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(marks)]
+                for lo, hi in zip(cuts, cuts[1:]):
+                    if lo == hi:
+                        continue
+                    if marks[lo] != now:
+                        w, now, n, g = w - alpha * g / max(n, 1), marks[lo], 0, np.zeros(dims)
+                    with np.errstate(over="ignore"):
+                        e = 1.0 / (1.0 + np.exp(-(x[lo:hi] @ w))) - y[lo:hi]
+                    n += hi - lo
+                    g = g + e[known[lo:hi]] @ x[lo:hi][known[lo:hi]]
+            yield pa.RecordBatch.from_arrays([pa.array([list(w - alpha * g / max(n, 1))], pa.list_(pa.float64()))], ["theta"])
+
+        cols = ["_b", "y", *([f"x{j}" for j in range(dims)] if wide else ["features"])]
+        # a run's files are brought to one task and put in order of their batches there
+        rows = self.rows.where(F.col("_run") == i).select(*cols).coalesce(1).sortWithinPartitions("_b")
+        row = rows.mapInArrow(walk, "theta array<double>").first()
+        return theta if row is None else list(row["theta"])
+
+
 def logreg_predict(points: DataFrame, theta: list[float]) -> DataFrame:
     """Append ``probability`` and ``prediction``; row-wise, also usable on a stream.
 

@@ -94,3 +94,27 @@ def test_first_merges_multiply_few_blocks(spark, monkeypatch, linkage):
         got = hac.hac_documents(bow_frame(spark, docs), n, linkage, block_docs=16).history
         assert sorted(tuple(x) for x in got.select("step", "old_id", "new_id", "sim").collect()) == want[:n]
         assert sum(pairs_made) < 13 * 14 / 4  # of the pairs of some 13 blocks
+
+
+@pytest.mark.parametrize("dims", [2, 40])
+def test_many_batches_are_walked_in_runs(spark, monkeypatch, dims):
+    """The same descent as a job per batch, with a job per run of batches; a missing label counts as a row only."""
+    import random
+
+    from mlframe.operators import logreg
+
+    r = random.Random(41)
+    rows = [(i, [r.uniform(-1, 1) for _ in range(dims)], r.randint(0, 1)) for i in range(400)]
+    if dims == 2:
+        rows += [(1000 + i, [0.5, 0.5], None) for i in range(9)]
+    df = spark.createDataFrame(rows, "row_id long, features array<double>, label int").repartition(5)
+    jobs = []
+    plain = logreg.gradient
+    monkeypatch.setattr(logreg, "gradient", lambda *a: jobs.append(1) or plain(*a))
+    want = logreg.logreg_fit_sgd(df, 0.5, 2, batch=20, seed=3, portable=True)
+    assert len(jobs) == 2 * -(-len(rows) // 20)
+    jobs.clear()
+    monkeypatch.setattr(logreg, "STEP_JOBS", 4)
+    monkeypatch.setattr(logreg, "RUN_VALUES", 20 * (dims + 1) * 6)
+    got = logreg.logreg_fit_sgd(df, 0.5, 2, batch=20, seed=3, portable=True)
+    assert got == pytest.approx(want, rel=1e-9) and not jobs
