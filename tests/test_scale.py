@@ -118,3 +118,33 @@ def test_many_batches_are_walked_in_runs(spark, monkeypatch, dims):
     monkeypatch.setattr(logreg, "RUN_VALUES", 20 * (dims + 1) * 6)
     got = logreg.logreg_fit_sgd(df, 0.5, 2, batch=20, seed=3, portable=True)
     assert got == pytest.approx(want, rel=1e-9) and not jobs
+
+
+def test_rounds_run_on_packed_batches(spark, monkeypatch):
+    """Rounds read rows of plain numbers; near ties are decided by the differences, as before."""
+    import numpy as np
+
+    from mlframe.operators import kmeans
+
+    r = np.random.default_rng(51)
+    values = r.normal(size=(9, 8)) * 100
+    x = np.concatenate([r.normal(size=(400, 8)) * 100, (values[2] + values[5])[None] / 2, values, r.integers(-1, 2, size=(200, 8)) + 1e8])
+    values = np.concatenate([values, values[:2], np.full((1, 8), 1e8)])  # two centres twice
+    assert kmeans._nearest_fast(x, values).tolist() == kmeans._nearest_numpy(x, values)[0].tolist()
+    monkeypatch.setattr(kmeans, "PACKED_BYTES", 640)
+    for rows in (x, np.round(x[:400])):  # 8 and 4 bytes a number
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(rows.tolist())], "row_id long, features array<double>").repartition(3)
+        packed = kmeans._packed(df, 8, "features")
+        assert packed.columns == ["x", "h"] and packed.count() >= len(rows) / 10
+        centers = spark.createDataFrame([(i, v) for i, v in enumerate(rows[:12].tolist())], "cluster int, center array<double>")
+        seen, last, c = 0, None, rows[:12]
+        while True:  # plain rounds
+            near = kmeans._nearest_numpy(rows, c)[0]
+            seen += 1
+            c = np.array([rows[near == i].mean(axis=0) if (near == i).any() else c[i] for i in range(12)])
+            if last is not None and (near == last).all():
+                break
+            last = near
+        got = kmeans.kmeans(df, centers)
+        assert {q["row_id"]: q["cluster"] for q in got.assignment.collect()} == dict(enumerate(kmeans._nearest_numpy(rows, c)[0].tolist()))
+        assert got.rounds == seen
