@@ -17,14 +17,23 @@ from mlframe.operators.kmeans import Clustering
 from mlframe.runtime import discard, durable
 
 
+def _entries(bow: DataFrame) -> DataFrame:
+    """Entries added up.  Negative counts fail the job: ``nearest_documents`` is exact for non-negative ones only."""
+    good = F.when(F.col("cnt") < 0, F.raise_error(F.lit("counts must not be negative")).cast("double")).otherwise(F.col("cnt"))
+    return bow.withColumn("cnt", good).groupBy("doc_id", "term_id").agg(F.sum("cnt").cast("double").alias("cnt")).where("cnt <> 0")
+
+
 def _postings(bow: DataFrame) -> DataFrame:
-    """Entries placed by document: per-document sums then need no further shuffle.
+    """Entries placed by document: per-document sums then need no further shuffle."""
+    return _entries(bow).repartition("doc_id")
 
-    Negative counts fail the job: ``nearest_documents`` is exact for non-negative ones only.
-    """
-    good = F.when(F.col("cnt") < 0, F.raise_error(F.lit("counts must not be negative")).cast("double")).otherwise(F.col("cnt"))
-    return bow.withColumn("cnt", good).groupBy("doc_id", "term_id").agg(F.sum("cnt").cast("double").alias("cnt")).where(
-        "cnt <> 0").repartition("doc_id")
+
+def _held(bow: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A written table with one row per document, and its entries: a row's sums are one row before any shuffle, and nothing is cached."""
+    rows = _entries(bow).groupBy("doc_id").agg(F.collect_list(F.struct("term_id", "cnt")).alias("e"))
+    table = durable(rows.select("doc_id", F.col("e.term_id").alias("terms"), F.col("e.cnt").alias("cnts")), release=True)
+    entries = table.select("doc_id", F.explode(F.arrays_zip("terms", "cnts")).alias("e"))
+    return table, entries.select("doc_id", F.col("e.terms").alias("term_id"), F.col("e.cnts").alias("cnt"))
 
 
 def _norms(table: DataFrame, key: str, value: str) -> DataFrame:
@@ -82,11 +91,11 @@ def _centers_of(postings: DataFrame, chosen: list[tuple[int, object]]) -> DataFr
 
 def bow_init(bow: DataFrame, k: int, seed: int = 0, init: str = "d2", portable: bool = False) -> DataFrame:
     """k-means++ start: (cluster, doc_id) of the chosen documents, numbered from 1."""
-    postings = _postings(bow).persist()
+    table, postings = _held(bow)
     try:
         chosen = _choose(postings, k, seed, init, portable)
     finally:
-        postings.unpersist()
+        discard(table)
     return bow.sparkSession.createDataFrame(
         chosen, f"cluster int, doc_id {bow.schema['doc_id'].dataType.simpleString()}")
 
@@ -105,7 +114,7 @@ def _choose(postings: DataFrame, k: int, seed: int, init: str, portable: bool) -
                     "doc_id", F.least("sq_distance", "_so_far").alias("sq_distance"))
             if len(chosen) - done >= kmeans.FOLD:
                 done, old = len(chosen), folded
-                near = folded = durable(near)
+                near = folded = durable(near, release=True)
                 discard(old)
             left = near.where((F.col("sq_distance") > 0) & ~F.col("doc_id").isin([d for _, d in chosen]))
             if init == "d2":
@@ -124,15 +133,17 @@ def _choose(postings: DataFrame, k: int, seed: int, init: str, portable: bool) -
 def kmeans_pp_bow(bow: DataFrame, k: int, iterations: int, seed: int = 0, init: str = "d2",
                   portable: bool = False) -> Clustering:
     """k-means++ on documents: centres (cluster, term_id, weight) and assignment (doc_id, cluster, distance)."""
-    postings = _postings(bow).persist()
+    table, postings = _held(bow)
     try:
-        centers = durable(_centers_of(postings, _choose(postings, k, seed, init, portable)))
+        centers = durable(_centers_of(postings, _choose(postings, k, seed, init, portable)), release=True)
         for _ in range(iterations):
-            old = centers
-            centers = durable(mean_centers(postings, nearest_documents(postings, old)))
+            # the shuffle files of the one go before the other begins
+            old, near = centers, durable(nearest_documents(postings, centers), release=True)
+            centers = durable(mean_centers(postings, near), release=True)
             discard(old)
+            discard(near)
         final = nearest_documents(postings, centers)
-        assignment = durable(final.withColumn("distance", F.sqrt("sq_distance")).drop("sq_distance"))
+        assignment = durable(final.withColumn("distance", F.sqrt("sq_distance")).drop("sq_distance"), release=True)
     finally:
-        postings.unpersist()
+        discard(table)
     return Clustering(centers, assignment, iterations)

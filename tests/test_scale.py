@@ -148,3 +148,19 @@ def test_rounds_run_on_packed_batches(spark, monkeypatch):
         got = kmeans.kmeans(df, centers)
         assert {q["row_id"]: q["cluster"] for q in got.assignment.collect()} == dict(enumerate(kmeans._nearest_numpy(rows, c)[0].tolist()))
         assert got.rounds == seen
+
+
+def test_sparse_kmeans_keeps_no_cache_of_postings(spark, monkeypatch):
+    """Documents are held as one written row each and given up at the end."""
+    from mlframe.operators import kmeans_bow
+
+    held = []
+    plain = kmeans_bow._held
+    monkeypatch.setattr(kmeans_bow, "_held", lambda b: held.append(plain(b)) or held[-1])
+    docs = rand_docs(61, 30, 12, 3)
+    docs[90] = Counter({"none": 0})
+    res = kmeans_bow.kmeans_pp_bow(bow_frame(spark, docs), 3, 2, 1, portable=True)
+    assert sorted(r["doc_id"] for r in res.assignment.collect()) == sorted(d for d in docs if d != 90)
+    table, _ = held[0]
+    with pytest.raises(Exception):  # its files are gone
+        table.count()
