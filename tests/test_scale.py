@@ -164,3 +164,22 @@ def test_sparse_kmeans_keeps_no_cache_of_postings(spark, monkeypatch):
     table, _ = held[0]
     with pytest.raises(Exception):  # its files are gone
         table.count()
+
+
+def test_prefixes_grow_with_the_terms(spark, monkeypatch):
+    """A prefix term is one short row; the way is chosen from some documents and both ways find the same pairs."""
+    from tests.test_clusters import jac
+
+    docs = {i: Counter([f"r{i // 2}a", f"r{i // 2}b", f"r{i // 2}c", "all"]) for i in range(60)}
+    sets = {d: set(c) for d, c in docs.items()}
+    want = [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if jac(sets[a], sets[b]) >= 0.5]
+    frame = bow_frame(spark, docs | {100: docs[3]})
+    words = pairs.word_sets(frame.where("doc_id < 100"))
+    reps, _ = pairs.distinct_sets(words)
+    assert pairs.prefix_table(reps, 0.5).columns == ["doc_id", "n", "pos", "term_id"]
+    monkeypatch.setattr(pairs, "DRAWN", 10)
+    rare = words.withColumn("terms", pairs.F.filter("terms", lambda t: t != "all"))
+    assert pairs.prefixes(rare, 0.9) is not None  # words of two documents each: the join is short
+    assert pairs.prefixes(words.withColumn("terms", pairs.F.array(pairs.F.lit("all"))), 0.9) is None
+    got = sorted((r["a"], r["b"]) for r in pairs.jaccard_pairs(frame, 0.5).collect())
+    assert got == sorted(want + [(2, 100), (3, 100)])
